@@ -1,19 +1,22 @@
 """Equi-joins that stay balanced when one key holds a large part of the rows.
 
 Adaptive execution can split a skewed join partition, but of a left join only on the left
-side, and not at all above an aggregate. Here the keys that need splitting are
-found first with a frequent-items sketch over the key column (one narrow scan, no shuffle of
-the keys) and only those keys are salted. The sketch decides how the work is spread,
-never which rows come out.
+side, and not next to an aggregate. Here the keys that need splitting are found
+first with a frequent-items sketch over the key columns (narrow scans, no shuffle of the
+keys) and only those keys are salted. The sketch decides how the work is spread, never
+which rows come out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from marquee.sources.local import local_rows
 
 # A key is split once it has more rows than one task should join.
 ROWS_PER_TASK = 4_000_000
@@ -24,49 +27,85 @@ MAX_SPLIT_KEYS = 1_000
 # Sketches are merged in this many lanes before the last merge.
 SKETCH_LANES = 256
 
+# Key value (None for NULL) to the number of parts its rows are split into.
+Parts = dict[object, int]
+
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_TASK) -> DataFrame:
-    """The most frequent values of ``key`` with their estimated row counts, at least ``min_rows``:
-    columns ``key`` (NULL is a value too) and ``n_rows``, at most ``MAX_SPLIT_KEYS`` rows."""
+def heavy_parts(
+    sides: Mapping[str, DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, Parts]:
+    """Per side the values of ``key`` with more than ``rows_per_task`` rows and the parts to split
+    them into. One job over the key columns; collects at most ``MAX_SPLIT_KEYS`` rows per side."""
+    keys = reduce(
+        DataFrame.unionByName,
+        (df.select(F.lit(side).alias("side"), F.col(key).alias("key")) for side, df in sides.items()),
+    )
     sketches = (
-        df.select(F.col(key).alias("key"), F.pmod(F.spark_partition_id(), SKETCH_LANES).alias("lane"))
-        .groupBy("lane")
+        keys.withColumn("lane", F.pmod(F.spark_partition_id(), SKETCH_LANES))
+        .groupBy("side", "lane")
         .agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_SIZE})").alias("sketch"))
     )
-    return (
-        sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_SIZE})").alias("sketch"))
-        .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_SPLIT_KEYS})")).alias("top"))
-        .select(F.col("top.item").alias("key"), F.col("top.count").alias("n_rows"))
-        .where(F.col("n_rows") >= min_rows)
+    listed = (
+        sketches.groupBy("side")
+        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_SIZE})").alias("sketch"))
+        .select("side", F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_SPLIT_KEYS})")).alias("top"))
+        .where(F.col("top.count") > rows_per_task)
     )
+    parts: dict[str, Parts] = {side: {} for side in sides}
+    for row in listed.collect():
+        parts[row["side"]][row["top"]["item"]] = -(-row["top"]["count"] // rows_per_task)
+    return parts
 
 
 @dataclass(frozen=True)
 class SplitPlan:
-    """How many parts the rows of each heavy key are split into, per side."""
+    """Which keys of a join are split, and into how many parts on each side."""
 
-    key: str
-    left: dict[object, int]
-    right: dict[object, int]
-    null_left: int = 1
+    left: Parts
+    right: Parts
 
     def __bool__(self) -> bool:
-        return bool(self.left or self.right or self.null_left > 1)
+        return bool(self.left or self.right)
 
 
 def plan_splits(
     left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK
 ) -> SplitPlan:
-    """Find the keys to split. Runs one job per side over its key column and collects at most
-    ``MAX_SPLIT_KEYS`` rows from each."""
-
-    def parts(df: DataFrame) -> dict[object, int]:
-        rows = heavy_keys(df, key, rows_per_task + 1).collect()
-        return {r["key"]: -(-r["n_rows"] // rows_per_task) for r in rows}
-
-    left_parts, right_parts = parts(left), parts(right)
-    right_parts.pop(None, None)
-    return SplitPlan(key, left_parts, right_parts, left_parts.pop(None, 1))
+    """Find the keys to split in a join of ``left`` and ``right``."""
+    parts = heavy_parts({"left": left, "right": right}, key, rows_per_task)
+    return SplitPlan(parts["left"], parts["right"])
+
+
+def _part_counts(right: DataFrame, key: str, left_parts: Parts, right_parts: Parts) -> DataFrame:
+    """The split keys with their parts, ``__a`` on the left and ``__b`` on the right."""
+    keys = sorted(left_parts.keys() | right_parts.keys(), key=str)
+    counts = local_rows(
+        right.sparkSession,
+        **{key: keys},
+        __a=[left_parts.get(k, 1) for k in keys],
+        __b=[right_parts.get(k, 1) for k in keys],
+    ).withColumn(key, F.col(key).cast(right.schema[key].dataType))
+    if not right_parts:
+        return counts
+    # A left row of a key that is split on the right must meet a partner in one of its cells,
+    # so the split holds only for keys that the right side has at the time of the join.
+    present = right.where(F.col(key).isin(list(right_parts))).select(key).distinct()
+    return counts.join(
+        F.broadcast(present.withColumn("__present", F.lit(True))), key, "left"
+    ).select(key, "__a", F.when(F.col("__present"), F.col("__b")).otherwise(F.lit(1)).alias("__b"))
+
+
+def _deal(df: DataFrame, own: str, own_parts: Column, other: str, other_parts: Column | None) -> DataFrame:
+    """Deal each row to one of its own parts, in turn, and copy it to every part of the other side."""
+    dealt = df.withColumn("__row", F.monotonically_increasing_id()).withColumn(
+        own, F.pmod(F.col("__row"), own_parts)
+    )
+    if other_parts is None:
+        # Zero, but not a literal: the optimizer would take a literal out of the join keys.
+        copies = F.pmod(F.col("__row"), F.lit(1))
+    else:
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), other_parts - 1))
+    return dealt.withColumn(other, copies).drop("__row")
 
 
 def split_join(
@@ -74,60 +113,38 @@ def split_join(
 ) -> DataFrame:
     """``left.join(right, key, how)`` for ``how`` left or inner, with the keys of ``plan`` split.
 
-    A heavy key with ``a`` parts on the left and ``b`` on the right becomes ``a x b`` cells: each
-    left row goes to one of the ``a`` rows of cells and is copied along ``b``, each right row to one of the
-    ``b`` columns and is copied along ``a``, so every pair meets in exactly one cell. Parts are
-    dealt round by round in row order, so copies of one row are spread too. Apply it to
-    scans (or narrow steps on them): a task that runs again then deals the same parts.
+    A key with ``a`` parts on the left and ``b`` on the right becomes ``a x b`` cells. Each left row
+    belongs to one of the ``a`` parts and is copied to the ``b`` cells of it, each right row the other
+    way round, so every pair meets in exactly one cell. Rows are dealt in their order of
+    reading, which also spreads copies of one row. Apply it to scans or narrow steps on
+    scans: a task that runs again then deals its rows alike.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if not plan:
         return left.join(right, key, how)
 
-    spark = left.sparkSession
-    if plan.left or plan.right:
-        schema = T.StructType(
-            [
-                T.StructField(key, left.schema[key].dataType),
-                T.StructField("__a", T.LongType()),
-                T.StructField("__b", T.LongType()),
-            ]
-        )
-        keys = sorted(plan.left.keys() | plan.right.keys(), key=str)
-        parts = spark.createDataFrame(
-            [(k, plan.left.get(k, 1), plan.right.get(k, 1)) for k in keys], schema
-        )
-        if plan.right:
-            # A left row of a split right key must find a partner in one of its cells: take the
-            # split only for keys that the right side really has.
-            found = right.where(F.col(key).isin(list(plan.right))).select(key).distinct()
-            parts = parts.join(F.broadcast(found.withColumn("__found", F.lit(True))), key, "left")
-            parts = parts.withColumn("__b", F.when(F.col("__found"), F.col("__b")).otherwise(F.lit(1)))
-            parts = parts.drop("__found")
-        parts = F.broadcast(parts)
-        with_parts = lambda df: df.join(parts, key, "left")
+    # NULL meets nothing, so it needs parts on the left only and no copies on the right.
+    left_parts = {k: n for k, n in plan.left.items() if k is not None}
+    right_parts = {k: n for k, n in plan.right.items() if k is not None}
+    null_parts = F.when(F.col(key).isNull(), F.lit(plan.left.get(None, 1)))
+    a, b = F.coalesce("__a", F.lit(1)), F.coalesce("__b", F.lit(1))
+    rest = [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
+
+    if left_parts or right_parts:
+        # At most MAX_SPLIT_KEYS rows per side.
+        counts = F.broadcast(_part_counts(right, key, left_parts, right_parts))
+        left, right = left.join(counts, key, "left"), right.join(counts, key, "left")
     else:
-        with_parts = lambda df: df.withColumns(
-            {"__a": F.lit(None).cast("long"), "__b": F.lit(None).cast("long")}
-        )
-
-    a = F.coalesce(F.when(F.col(key).isNull(), F.lit(plan.null_left)), F.col("__a"), F.lit(1))
-    b = F.coalesce(F.col("__b"), F.lit(1))
-    zero = F.lit(0).cast("long")
-
-    def cells(df: DataFrame, own: str, parts_own, other: str, parts_other, copied: bool) -> DataFrame:
-        df = with_parts(df.withColumn("__row", F.monotonically_increasing_id()))
-        df = df.withColumn(own, F.pmod(F.col("__row"), parts_own)).withColumn("__split", b > 1)
-        copies = F.explode(F.sequence(zero, parts_other - 1)) if copied else zero
-        return df.withColumn(other, copies).drop("__row", "__a", "__b")
-
-    left_cells = cells(left, "__i", a, "__j", b, bool(plan.right))
-    right_cells = cells(right, "__j", b, "__i", F.coalesce(F.col("__a"), F.lit(1)), bool(plan.left))
-    joined = left_cells.join(
-        right_cells.drop("__split").withColumn("__hit", F.lit(True)), [key, "__i", "__j"], how
+        none = {c: F.lit(None).cast("bigint") for c in ("__a", "__b")}
+        left, right = left.withColumns(none), right.withColumns(none)
+
+    left = _deal(left, "__i", F.coalesce(null_parts, a), "__j", b if right_parts else None)
+    right = _deal(right, "__j", b, "__i", a if left_parts else None)
+    joined = left.withColumn("__split", b > 1).drop("__a", "__b").join(
+        right.drop("__a", "__b").withColumn("__hit", F.lit(True)), [key, "__i", "__j"], how
     )
     if how == "left":
+        # Cells of a split key that hold no partner for this row; another cell does.
         joined = joined.where(~F.col("__split") | F.col("__hit"))
-    rest = [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
     return joined.select(key, *rest)

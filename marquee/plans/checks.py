@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.sources.local import local_rows
 from marquee.zones import CURATED, CURATED_DATASETS, LANDING, LANDING_FILES, RAW, Zones
 
 # The fewest files and datasets a complete zone holds.
@@ -25,7 +26,7 @@ def _entries(spark: SparkSession, zones: Zones, zone: str) -> DataFrame:
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        files = spark.createDataFrame([], "path string")
+        files = spark.range(0).select(F.lit("").alias("path"))
     below = F.substring_index("path", f"/{zone}/{zones.catalogue}/", -1)
     return (
         files.select(F.substring_index(below, "/", 1).alias("entry"))
@@ -40,7 +41,7 @@ def check_landing(
     """One row per expected landing file: ``dataset``, ``present``, ``n_tsv`` and ``ok``, which holds when
     all expected files are there and the zone has at least three TSV files."""
     expected = expected or {name: spec.file for name, spec in LANDING_FILES.items()}
-    wanted = spark.createDataFrame(list(expected.items()), "dataset string, entry string")
+    wanted = local_rows(spark, dataset=list(expected), entry=list(expected.values()))
     tsv = _entries(spark, zones, LANDING).where(F.col("entry").endswith(".tsv"))
     # One row per name below the zone folder, so the summary row needs a single small task.
     summary = tsv.join(F.broadcast(wanted), "entry", "left").agg(
@@ -103,7 +104,7 @@ def zone_inventory(
             rows = rows.select(F.lit(zone).alias("zone"), F.lit(name).alias("dataset"), "n_rows")
             counts = rows if counts is None else counts.unionByName(rows)
     if counts is None:
-        counts = spark.createDataFrame([], "zone string, dataset string, n_rows bigint")
+        counts = listing.select("zone", "dataset", F.lit(0).cast("bigint").alias("n_rows")).limit(0)
 
     needed = F.create_map(*(F.lit(v) for item in minimum.items() for v in item))
     return listing.join(counts, ["zone", "dataset"], "left").select(

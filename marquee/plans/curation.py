@@ -17,7 +17,7 @@ from marquee.functions.columns import (
     split_to_array,
 )
 from marquee.operators import aggregates, generators, joins
-from marquee.operators.skew import SplitPlan, plan_splits
+from marquee.operators.skew import SplitPlan, heavy_parts
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import read_tsv
 from marquee.zones import CURATED, LANDING, LANDING_FILES, RAW, Zones
@@ -73,14 +73,13 @@ def person_rating_summary(
     return aggregates.person_rating_summary(names, ratings, plan)
 
 
-def title_splits(titles: DataFrame, ratings: DataFrame) -> SplitPlan:
-    """Which title ids the join of titles and ratings must split."""
-    return plan_splits(titles, ratings, "tconst")
-
-
-def known_splits(names: DataFrame, ratings: DataFrame) -> SplitPlan:
-    """Which title ids the join of known titles and ratings must split."""
-    return plan_splits(generators.known_for(names), ratings, "tconst")
+def catalogue_splits(
+    titles: DataFrame, ratings: DataFrame, names: DataFrame
+) -> tuple[SplitPlan, SplitPlan]:
+    """Which title ids the joins with the ratings must split: for titles and for known titles."""
+    sides = {"titles": titles, "ratings": ratings, "known": generators.known_for(names)}
+    parts = heavy_parts(sides, "tconst")
+    return SplitPlan(parts["titles"], parts["ratings"]), SplitPlan(parts["known"], parts["ratings"])
 
 
 def raw_to_curated(spark: SparkSession, zones: Zones) -> Iterator[str]:
@@ -91,16 +90,15 @@ def raw_to_curated(spark: SparkSession, zones: Zones) -> Iterator[str]:
         write_dataset(df, zones, CURATED, name)
         return name
 
+    title_plan, known_plan = catalogue_splits(titles, ratings, names)
     joined = "title_with_ratings_nopartition"
-    yield keep(title_with_ratings(titles, ratings, title_splits(titles, ratings)), joined)
+    yield keep(title_with_ratings(titles, ratings, title_plan), joined)
     rated = read_dataset(spark, zones, CURATED, joined)
     yield keep(title_by_genre(rated), "title_by_genre")
     yield keep(genre_stats(rated), "genre_stats")
     yield keep(title_popularity(rated), "title_popularity")
     yield keep(title_by_decade(rated), "title_by_decade")
-    yield keep(
-        person_rating_summary(names, ratings, known_splits(names, ratings)), "person_rating_summary"
-    )
+    yield keep(person_rating_summary(names, ratings, known_plan), "person_rating_summary")
 
 
 def curate(spark: SparkSession, zones: Zones, quote: str = "") -> list[str]:

@@ -133,7 +133,6 @@ def talent(
 ) -> DataFrame:
     """Bars: the best rated people of each profession; a profession without any has one row
     that says so."""
-    spark = people.sparkSession
     best = top_k_per_category(
         seasoned(people),
         "primaryProfession",
@@ -144,7 +143,9 @@ def talent(
         category="profession",
         match=match,
     )
-    panels = spark.createDataFrame([(p,) for p in professions], "profession string")
+    panels = people.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, professions))).alias("profession")
+    )
     # At most k rows per profession are left, so this side is small by construction.
     frame = panels.join(F.broadcast(best), "profession", "left")
     empty = F.col("nconst").isNull()

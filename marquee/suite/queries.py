@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import labels
-from marquee.functions.columns import decade_bucket, popularity_score, scale_measure
+from marquee.functions.columns import (
+    cast_columns,
+    decade_bucket,
+    popularity_score,
+    scale_measure,
+    split_to_array,
+)
 from marquee.functions.predicates import (
     at_least,
     equals,
@@ -22,8 +28,9 @@ from marquee.operators import aggregates, generators, joins, ranking
 from marquee.plans import checks, curation, reports
 from marquee.session import scratch_folder
 from marquee.sources import tables, text
+from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.suite.views import BREWERY_DDL, Stage, breweries, table
-from marquee.zones import LANDING, LANDING_FILES, RAW, Zones
+from marquee.zones import CURATED, LANDING_FILES, RAW, Zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,7 +67,7 @@ def names(spark, sf):
 
 
 def rated(spark, sf):
-    plan = Stage.of(spark, sf).title_splits
+    plan = Stage.of(spark, sf).splits("title_basics")
     return curation.title_with_ratings(titles(spark, sf), ratings(spark, sf), plan)
 
 
@@ -78,7 +85,7 @@ def movies(spark, sf):
 
 
 def people(spark, sf):
-    plan = Stage.of(spark, sf).known_splits
+    plan = Stage.of(spark, sf).splits("name_basics")
     summary = curation.person_rating_summary(names(spark, sf), ratings(spark, sf), plan)
     return rounded(summary, "avg_rating")
 
@@ -94,7 +101,7 @@ def decades(spark, sf):
 
 
 def landing_text(spark, sf, name):
-    return curation.scan_landing(spark, Stage.of(spark, sf).zones, name)
+    return curation.scan_landing(spark, Stage.of(spark, sf).land(name), name)
 
 
 # Sources and sinks ---------------------------------------------------------------------
@@ -131,9 +138,8 @@ def scan_text(spark, sf):
 @query
 def sink_parquet_roundtrip(spark, sf):
     zones = Zones(scratch_folder(spark, "roundtrip"))
-    for _ in range(2):
-        curation.write_dataset(popularity(spark, sf), zones, "curated", "title_popularity")
-    return curation.read_dataset(spark, zones, "curated", "title_popularity")
+    write_dataset(popularity(spark, sf), zones, CURATED, "title_popularity")
+    return read_dataset(spark, zones, CURATED, "title_popularity")
 
 
 @query
@@ -172,13 +178,13 @@ def preview_rows(spark, sf):
 @query
 def catalog_databases(spark, sf):
     """A new database, found in the list of databases, with a table over each raw dataset."""
-    stage = Stage.of(spark, sf)
+    zones = Stage.of(spark, sf).raw_zone()
     database = f"films_{uuid.uuid4().hex}"
     current = spark.catalog.currentDatabase()
     tables.ensure_database(spark, database, f"{scratch_folder(spark, 'tables')}/{database}")
     counts = None
     for name in LANDING_FILES:
-        spark.catalog.createTable(name, path=stage.zones.path(RAW, name), source="parquet")
+        spark.catalog.createTable(name, path=zones.path(RAW, name), source="parquet")
         rows = spark.table(f"{database}.{name}").agg(F.count("*").alias("n_rows"))
         rows = rows.select(F.lit(database).alias("namespace"), F.lit(name).alias("dataset"), "n_rows")
         counts = rows if counts is None else counts.unionByName(rows)
@@ -189,12 +195,12 @@ def catalog_databases(spark, sf):
 
 @query
 def check_landing(spark, sf):
-    return checks.check_landing(spark, Stage.of(spark, sf).zones)
+    return checks.check_landing(spark, Stage.of(spark, sf).land())
 
 
 @query
 def check_zone_inventory(spark, sf):
-    zones = Stage.of(spark, sf).zones
+    zones = Stage.of(spark, sf).raw_zone()
     found = checks.zone_inventory(spark, zones, {RAW: tuple(LANDING_FILES)})
     # The number of files depends on the cluster.
     return found.withColumn("n_files", F.col("n_files") > 0).withColumnRenamed("n_files", "has_files")
@@ -205,7 +211,7 @@ def check_zone_inventory(spark, sf):
 
 @query
 def cast_int(spark, sf):
-    df = curation.cast_columns(
+    df = cast_columns(
         landing_text(spark, sf, "title_basics"),
         {"startYear": "int", "endYear": "int", "runtimeMinutes": "int"},
     )
@@ -215,19 +221,19 @@ def cast_int(spark, sf):
 @query
 def cast_double(spark, sf):
     df = landing_text(spark, sf, "title_ratings")
-    return curation.cast_columns(df, {"averageRating": "double"}).select("tconst", "averageRating")
+    return cast_columns(df, {"averageRating": "double"}).select("tconst", "averageRating")
 
 
 @query
 def cast_long(spark, sf):
     df = landing_text(spark, sf, "title_ratings")
-    return curation.cast_columns(df, {"numVotes": "bigint"}).select("tconst", "numVotes")
+    return cast_columns(df, {"numVotes": "bigint"}).select("tconst", "numVotes")
 
 
 @query
 def split_array(spark, sf):
     df = landing_text(spark, sf, "title_basics").select("tconst", "genres")
-    df = curation.split_to_array(df, "genres", "genres_array")
+    df = split_to_array(df, "genres", "genres_array")
     return flat(df.withColumn("n_genres", F.size("genres_array")), "genres_array").drop("genres")
 
 
@@ -398,8 +404,8 @@ def join_title_ratings(spark, sf):
 
 @query
 def join_known_ratings(spark, sf):
-    stage = Stage.of(spark, sf)
-    df = joins.known_title_ratings(names(spark, sf), ratings(spark, sf), plan=stage.known_splits)
+    plan = Stage.of(spark, sf).splits("name_basics")
+    df = joins.known_title_ratings(names(spark, sf), ratings(spark, sf), plan=plan)
     return df.select("nconst", "tconst", "averageRating", "numVotes")
 
 

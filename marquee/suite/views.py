@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.operators.skew import ROWS_PER_TASK, SplitPlan, heavy_keys, split_join
-from marquee.plans.curation import known_splits, land_to_raw, title_splits
+from marquee.operators.generators import known_for
+from marquee.operators.skew import Parts, SplitPlan, heavy_parts, split_join
+from marquee.plans.curation import typed
 from marquee.session import scratch_folder
-from marquee.sources.datasets import read_dataset
+from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import write_tsv
 from marquee.zones import LANDING, LANDING_FILES, RAW, Zones
 
@@ -29,17 +30,18 @@ def _id(prefix: str, key: str):
 def _attach(left: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     """Left join with an aggregate that has one row per key; heavy left keys are split, which
     adaptive execution does not do next to an aggregate."""
-    rows = heavy_keys(left, key, ROWS_PER_TASK + 1).collect()
-    parts = {r["key"]: -(-r["n_rows"] // ROWS_PER_TASK) for r in rows}
-    return split_join(left, facts, key, "left", SplitPlan(key, parts, {}, parts.pop(None, 1)))
+    parts = heavy_parts({"left": left}, key)["left"]
+    return split_join(left, facts, key, "left", SplitPlan(parts, {}))
 
 
 def title_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    # Copies of a part would only multiply the line items before the set drops them again.
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand").distinct()
     brands = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
-        .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_partkey")
+        .join(part, "p_partkey")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.array_join(F.sort_array(F.collect_set("p_brand")), ",").alias("brands"))
     )
@@ -116,17 +118,16 @@ LANDING_VIEWS = {
 
 
 class Stage:
-    """The catalogue of one set of tables, landed and typed once per Spark application."""
+    """The catalogue of one set of tables. Each landing file and raw dataset is written once per
+    Spark application, when a query first asks for it, and read from there by every query."""
 
     _known: dict[tuple[str, str], Stage] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.zones = Zones(scratch_folder(spark, "catalogue"))
-        for name, view in LANDING_VIEWS.items():
-            write_tsv(view(spark, sf_dir), self.zones.path(LANDING, LANDING_FILES[name].file))
-        land_to_raw(spark, self.zones)
-        self._splits: dict[str, SplitPlan] = {}
+        self._written: set[tuple[str, str]] = set()
+        self._parts: dict[str, Parts] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Stage:
@@ -135,20 +136,37 @@ class Stage:
             cls._known[key] = cls(spark, sf_dir)
         return cls._known[key]
 
+    def land(self, *names: str) -> Zones:
+        """The zones with these landing files in place (all of them by default)."""
+        for name in names or LANDING_FILES:
+            if (LANDING, name) not in self._written:
+                path = self.zones.path(LANDING, LANDING_FILES[name].file)
+                write_tsv(LANDING_VIEWS[name](self.spark, self.sf_dir), path, "overwrite")
+                self._written.add((LANDING, name))
+        return self.zones
+
     def raw(self, name: str) -> DataFrame:
+        if (RAW, name) not in self._written:
+            view = LANDING_VIEWS[name](self.spark, self.sf_dir)
+            write_dataset(typed(view, name), self.zones, RAW, name)
+            self._written.add((RAW, name))
         return read_dataset(self.spark, self.zones, RAW, name)
 
-    @property
-    def title_splits(self) -> SplitPlan:
-        if "titles" not in self._splits:
-            self._splits["titles"] = title_splits(self.raw("title_basics"), self.raw("title_ratings"))
-        return self._splits["titles"]
-
-    @property
-    def known_splits(self) -> SplitPlan:
-        if "known" not in self._splits:
-            self._splits["known"] = known_splits(self.raw("name_basics"), self.raw("title_ratings"))
-        return self._splits["known"]
+    def raw_zone(self) -> Zones:
+        """The zones with every raw dataset in place."""
+        for name in LANDING_FILES:
+            self.raw(name)
+        return self.zones
+
+    def _heavy(self, name: str) -> Parts:
+        if name not in self._parts:
+            df = known_for(self.raw(name)) if name == "name_basics" else self.raw(name)
+            self._parts[name] = heavy_parts({name: df}, "tconst")[name]
+        return self._parts[name]
+
+    def splits(self, name: str) -> SplitPlan:
+        """How to split the join of a raw dataset with the ratings."""
+        return SplitPlan(self._heavy(name), self._heavy("title_ratings"))
 
 
 def breweries(spark: SparkSession, sf_dir: str) -> DataFrame:
