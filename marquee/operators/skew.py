@@ -32,10 +32,11 @@ Parts = dict[object, int]
 
 
 def heavy_parts(
-    sides: Mapping[str, DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK
+    sides: Mapping[str, DataFrame], key: str, rows_per_task: int | None = None
 ) -> dict[str, Parts]:
     """Per side the values of ``key`` with more than ``rows_per_task`` rows and the parts to split
     them into. One job over the key columns; collects at most ``MAX_SPLIT_KEYS`` rows per side."""
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     keys = reduce(
         DataFrame.unionByName,
         (df.select(F.lit(side).alias("side"), F.col(key).alias("key")) for side, df in sides.items()),
@@ -69,7 +70,7 @@ class SplitPlan:
 
 
 def plan_splits(
-    left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame, right: DataFrame, key: str, rows_per_task: int | None = None
 ) -> SplitPlan:
     """Find the keys to split in a join of ``left`` and ``right``."""
     parts = heavy_parts({"left": left, "right": right}, key, rows_per_task)
