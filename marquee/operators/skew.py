@@ -1,10 +1,9 @@
 """Equi-joins that stay balanced when one key holds a large part of the rows.
 
-Adaptive execution can split a skewed join partition, but of a left join only on the left
-side, and not next to an aggregate. Here the keys that need splitting are found
-first with a frequent-items sketch over the key columns (narrow scans, no shuffle of the
-keys) and only those keys are salted. The sketch decides how the work is spread, never
-which rows come out.
+Adaptive execution splits skewed partitions of a join of two scans, but of a left join only on
+the left side, and not next to an aggregate. For the other cases the keys that need splitting
+are counted first and only those are salted; all other rows join as usual. The counts
+decide how the work is spread, never which rows come out.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +20,10 @@ from marquee.sources.local import local_rows
 
 # A key is split once it has more rows than one task should join.
 ROWS_PER_TASK = 4_000_000
-# Entries of a sketch: a key above rows / SKETCH_SIZE is not missed.
-SKETCH_SIZE = 32_768
+# Keys are first counted together in this many buckets.
+BUCKETS = 32_768
 # Longest list of split keys per side; it is collected and broadcast.
 MAX_SPLIT_KEYS = 1_000
-# Sketches are merged in this many lanes before the last merge.
-SKETCH_LANES = 256
 
 # Key value (None for NULL) to the number of parts its rows are split into.
 Parts = dict[object, int]
@@ -35,26 +33,42 @@ def heavy_parts(
     sides: Mapping[str, DataFrame], key: str, rows_per_task: int | None = None
 ) -> dict[str, Parts]:
     """Per side the values of ``key`` with more than ``rows_per_task`` rows and the parts to split
-    them into. One job over the key columns; collects at most ``MAX_SPLIT_KEYS`` rows per side."""
+    them into.
+
+    The first job scans the key columns and counts rows per hash bucket, which shuffles a
+    small table of fixed size per task instead of the keys. Without a bucket that stands out there
+    is no heavy key; else a second job counts the keys of those buckets.
+    """
     rows_per_task = rows_per_task or ROWS_PER_TASK
+    names = list(sides)
     keys = reduce(
         DataFrame.unionByName,
-        (df.select(F.lit(side).alias("side"), F.col(key).alias("key")) for side, df in sides.items()),
-    )
-    sketches = (
-        keys.withColumn("lane", F.pmod(F.spark_partition_id(), SKETCH_LANES))
-        .groupBy("side", "lane")
-        .agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_SIZE})").alias("sketch"))
+        (df.select(F.lit(i).alias("side"), F.col(key).alias("key")) for i, df in enumerate(sides.values())),
+    ).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+    full = (
+        keys.groupBy("side", "bucket")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > rows_per_task)
+        .orderBy("side", F.desc("n"))
+        .limit(BUCKETS * len(names))
+        .collect()
     )
-    listed = (
-        sketches.groupBy("side")
-        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_SIZE})").alias("sketch"))
-        .select("side", F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_SPLIT_KEYS})")).alias("top"))
-        .where(F.col("top.count") > rows_per_task)
-    )
-    parts: dict[str, Parts] = {side: {} for side in sides}
-    for row in listed.collect():
-        parts[row["side"]][row["top"]["item"]] = -(-row["top"]["count"] // rows_per_task)
+    parts: dict[str, Parts] = {name: {} for name in names}
+    for side, name in enumerate(names):
+        loads = {r["bucket"]: r["n"] for r in full if r["side"] == side}
+        if not loads:
+            continue
+        usual = median([*loads.values(), *[0] * (BUCKETS - len(loads))])
+        suspects = [b for b, n in loads.items() if n > usual + rows_per_task][:MAX_SPLIT_KEYS]
+        heavy = (
+            keys.where((F.col("side") == side) & F.col("bucket").isin(suspects))
+            .groupBy("key")
+            .agg(F.count("*").alias("n"))
+            .where(F.col("n") > rows_per_task)
+            .orderBy(F.desc("n"))
+            .limit(MAX_SPLIT_KEYS)
+        )
+        parts[name] = {r["key"]: -(-r["n"] // rows_per_task) for r in heavy.collect()}
     return parts
 
 
@@ -78,7 +92,7 @@ def plan_splits(
 
 
 def _part_counts(right: DataFrame, key: str, left_parts: Parts, right_parts: Parts) -> DataFrame:
-    """The split keys with their parts, ``__a`` on the left and ``__b`` on the right."""
+    """The split keys with their parts: ``__a`` on the left, ``__b`` on the right, NULL for one part."""
     keys = sorted(left_parts.keys() | right_parts.keys(), key=str)
     counts = local_rows(
         right.sparkSession,
@@ -93,20 +107,18 @@ def _part_counts(right: DataFrame, key: str, left_parts: Parts, right_parts: Par
     present = right.where(F.col(key).isin(list(right_parts))).select(key).distinct()
     return counts.join(
         F.broadcast(present.withColumn("__present", F.lit(True))), key, "left"
-    ).select(key, "__a", F.when(F.col("__present"), F.col("__b")).otherwise(F.lit(1)).alias("__b"))
+    ).select(key, "__a", F.when(F.col("__present"), F.col("__b")).alias("__b"))
 
 
-def _deal(df: DataFrame, own: str, own_parts: Column, other: str, other_parts: Column | None) -> DataFrame:
-    """Deal each row to one of its own parts, in turn, and copy it to every part of the other side."""
-    dealt = df.withColumn("__row", F.monotonically_increasing_id()).withColumn(
-        own, F.pmod(F.col("__row"), own_parts)
-    )
-    if other_parts is None:
-        # Zero, but not a literal: the optimizer would take a literal out of the join keys.
-        copies = F.pmod(F.col("__row"), F.lit(1))
-    else:
-        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), other_parts - 1))
-    return dealt.withColumn(other, copies).drop("__row")
+def _dealt(parts: Column) -> Column:
+    """Rows dealt to their parts in turn, in the order of reading."""
+    return F.pmod(F.monotonically_increasing_id(), parts)
+
+
+def _copied(parts: Column) -> Column:
+    """A copy of the row for each part of the other side."""
+    zero = F.lit(0).cast("bigint")
+    return F.explode(F.when(parts > 1, F.sequence(zero, parts - 1)).otherwise(F.array(zero)))
 
 
 def split_join(
@@ -125,27 +137,31 @@ def split_join(
     if not plan:
         return left.join(right, key, how)
 
+    rest = [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
     # NULL meets nothing, so it needs parts on the left only and no copies on the right.
     left_parts = {k: n for k, n in plan.left.items() if k is not None}
     right_parts = {k: n for k, n in plan.right.items() if k is not None}
-    null_parts = F.when(F.col(key).isNull(), F.lit(plan.left.get(None, 1)))
-    a, b = F.coalesce("__a", F.lit(1)), F.coalesce("__b", F.lit(1))
-    rest = [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
-
+    null_parts = plan.left.get(None, 1)
+    a, b = F.lit(1), F.coalesce("__b", F.lit(1))
     if left_parts or right_parts:
         # At most MAX_SPLIT_KEYS rows per side.
         counts = F.broadcast(_part_counts(right, key, left_parts, right_parts))
         left, right = left.join(counts, key, "left"), right.join(counts, key, "left")
-    else:
-        none = {c: F.lit(None).cast("bigint") for c in ("__a", "__b")}
-        left, right = left.withColumns(none), right.withColumns(none)
-
-    left = _deal(left, "__i", F.coalesce(null_parts, a), "__j", b if right_parts else None)
-    right = _deal(right, "__j", b, "__i", a if left_parts else None)
-    joined = left.withColumn("__split", b > 1).drop("__a", "__b").join(
-        right.drop("__a", "__b").withColumn("__hit", F.lit(True)), [key, "__i", "__j"], how
-    )
-    if how == "left":
+        a = F.coalesce("__a", F.lit(1))
+
+    on = [key]
+    if left_parts or null_parts > 1:
+        on.append("__i")
+        left = left.withColumn("__i", _dealt(F.when(F.col(key).isNull(), null_parts).otherwise(a)))
+        # Without copies it is 0 on the right, but not as a literal, which the optimizer would
+        # take out of the join keys.
+        right = right.withColumn("__i", _copied(a) if left_parts else _dealt(F.lit(1)))
+    if right_parts:
+        on.append("__j")
+        left = left.withColumn("__j", _copied(b)).withColumn("__split", b > 1)
+        right = right.withColumn("__j", _dealt(b)).withColumn("__hit", F.lit(True))
+    joined = left.drop("__a", "__b").join(right.drop("__a", "__b"), on, how)
+    if right_parts and how == "left":
         # Cells of a split key that hold no partner for this row; another cell does.
         joined = joined.where(~F.col("__split") | F.col("__hit"))
     return joined.select(key, *rest)

@@ -73,13 +73,10 @@ def person_rating_summary(
     return aggregates.person_rating_summary(names, ratings, plan)
 
 
-def catalogue_splits(
-    titles: DataFrame, ratings: DataFrame, names: DataFrame
-) -> tuple[SplitPlan, SplitPlan]:
-    """Which title ids the joins with the ratings must split: for titles and for known titles."""
-    sides = {"titles": titles, "ratings": ratings, "known": generators.known_for(names)}
-    parts = heavy_parts(sides, "tconst")
-    return SplitPlan(parts["titles"], parts["ratings"]), SplitPlan(parts["known"], parts["ratings"])
+def rating_splits(ratings: DataFrame) -> SplitPlan:
+    """How the two left joins with the ratings split title ids that have very many ratings.
+    Ids with very many titles or people are on the left, where adaptive execution splits them."""
+    return SplitPlan({}, heavy_parts({"ratings": ratings}, "tconst")["ratings"])
 
 
 def raw_to_curated(spark: SparkSession, zones: Zones) -> Iterator[str]:
@@ -90,15 +87,15 @@ def raw_to_curated(spark: SparkSession, zones: Zones) -> Iterator[str]:
         write_dataset(df, zones, CURATED, name)
         return name
 
-    title_plan, known_plan = catalogue_splits(titles, ratings, names)
+    plan = rating_splits(ratings)
     joined = "title_with_ratings_nopartition"
-    yield keep(title_with_ratings(titles, ratings, title_plan), joined)
+    yield keep(title_with_ratings(titles, ratings, plan), joined)
     rated = read_dataset(spark, zones, CURATED, joined)
     yield keep(title_by_genre(rated), "title_by_genre")
     yield keep(genre_stats(rated), "genre_stats")
     yield keep(title_popularity(rated), "title_popularity")
     yield keep(title_by_decade(rated), "title_by_decade")
-    yield keep(person_rating_summary(names, ratings, known_plan), "person_rating_summary")
+    yield keep(person_rating_summary(names, ratings, plan), "person_rating_summary")
 
 
 def curate(spark: SparkSession, zones: Zones, quote: str = "") -> list[str]:

@@ -67,7 +67,7 @@ def names(spark, sf):
 
 
 def rated(spark, sf):
-    plan = Stage.of(spark, sf).splits("title_basics")
+    plan = Stage.of(spark, sf).splits()
     return curation.title_with_ratings(titles(spark, sf), ratings(spark, sf), plan)
 
 
@@ -85,7 +85,7 @@ def movies(spark, sf):
 
 
 def people(spark, sf):
-    plan = Stage.of(spark, sf).splits("name_basics")
+    plan = Stage.of(spark, sf).splits()
     summary = curation.person_rating_summary(names(spark, sf), ratings(spark, sf), plan)
     return rounded(summary, "avg_rating")
 
@@ -404,7 +404,7 @@ def join_title_ratings(spark, sf):
 
 @query
 def join_known_ratings(spark, sf):
-    plan = Stage.of(spark, sf).splits("name_basics")
+    plan = Stage.of(spark, sf).splits()
     df = joins.known_title_ratings(names(spark, sf), ratings(spark, sf), plan=plan)
     return df.select("nconst", "tconst", "averageRating", "numVotes")
 

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.operators.generators import known_for
-from marquee.operators.skew import Parts, SplitPlan, heavy_parts, split_join
-from marquee.plans.curation import typed
+from marquee.operators.skew import SplitPlan, heavy_parts, split_join
+from marquee.plans.curation import rating_splits, typed
 from marquee.session import scratch_folder
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import write_tsv
@@ -127,7 +126,7 @@ class Stage:
         self.spark, self.sf_dir = spark, sf_dir
         self.zones = Zones(scratch_folder(spark, "catalogue"))
         self._written: set[tuple[str, str]] = set()
-        self._parts: dict[str, Parts] = {}
+        self._splits: SplitPlan | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Stage:
@@ -158,15 +157,11 @@ class Stage:
             self.raw(name)
         return self.zones
 
-    def _heavy(self, name: str) -> Parts:
-        if name not in self._parts:
-            df = known_for(self.raw(name)) if name == "name_basics" else self.raw(name)
-            self._parts[name] = heavy_parts({name: df}, "tconst")[name]
-        return self._parts[name]
-
-    def splits(self, name: str) -> SplitPlan:
-        """How to split the join of a raw dataset with the ratings."""
-        return SplitPlan(self._heavy(name), self._heavy("title_ratings"))
+    def splits(self) -> SplitPlan:
+        """How to split the joins with the ratings."""
+        if self._splits is None:
+            self._splits = rating_splits(self.raw("title_ratings"))
+        return self._splits
 
 
 def breweries(spark: SparkSession, sf_dir: str) -> DataFrame:

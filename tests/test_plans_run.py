@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee import Zones, jobs
+from marquee.operators import skew
 from marquee.plans import checks, curation, reports
 from marquee.sources.datasets import read_dataset
 from marquee.zones import CURATED, CURATED_DATASETS, LANDING_FILES, RAW
@@ -221,3 +222,29 @@ def test_applications(spark, zones, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "reports" / "talent")).count() == 5
     with pytest.raises(SystemExit):
         jobs.main(["report", "--root", zones.root])
+
+
+def test_many_ratings_of_one_title_are_split(spark, tmp_path, monkeypatch):
+    """A third of the ratings fall to one title, which two people are known for."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 50)
+    landing = tmp_path / "landing" / "films"
+    landing.mkdir(parents=True)
+    titles = [f"tt{i}\tmovie\tT{i}\t{1950 + i % 60}\t\\N\t90\tDrama" for i in range(300)]
+    ratings = [f"tt{i}\t5.0\t10" for i in range(0, 300, 2)] + ["tt4\t8.0\t1"] * 600
+    names = [f"nm{i}\tP{i}\tactor\ttt{i},tt4" for i in range(4)]
+    heads = ("\t".join(spec.required) for spec in LANDING_FILES.values())
+    for (_, spec), head, body in zip(LANDING_FILES.items(), heads, (titles, ratings, names)):
+        (landing / spec.file).write_text("\n".join([head, *body]) + "\n")
+    zones = Zones(str(tmp_path))
+    curation.land_to_raw(spark, zones)
+    plan = curation.rating_splits(read_dataset(spark, zones, RAW, "title_ratings"))
+    assert plan.right == {"tt4": 13}
+    curation.curate(spark, zones)
+    rated = read_dataset(spark, zones, CURATED, "title_with_ratings_nopartition")
+    assert rated.count() == 300 + 600
+    assert rated.where("tconst = 'tt4'").count() == 601
+    assert rated.where("averageRating is null").count() == 150
+    people = {r["nconst"]: r for r in read_dataset(spark, zones, CURATED, "person_rating_summary").collect()}
+    assert people["nm1"]["title_count"] == 602 and people["nm0"]["title_count"] == 602
+    assert people["nm1"]["avg_rating"] == pytest.approx((5 + 600 * 8) / 601)
+    assert people["nm0"]["avg_rating"] == pytest.approx((10 + 600 * 8) / 602)
