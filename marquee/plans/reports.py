@@ -143,7 +143,7 @@ def talent(
         category="profession",
         match=match,
     )
-    panels = people.sparkSession.range(1).select(
+    panels = people.sparkSession.range(1, numPartitions=1).select(
         F.explode(F.array(*map(F.lit, professions))).alias("profession")
     )
     # At most k rows per profession are left, so this side is small by construction.
