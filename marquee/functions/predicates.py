@@ -31,8 +31,8 @@ def non_empty(column: str) -> Column:
 
 
 def mentions(
-    text: str | Column,
-    word: str | Column,
+    text: str,
+    word: str,
     match: str = "substring",
     case_insensitive: bool = False,
 ) -> Column:
@@ -41,14 +41,13 @@ def mentions(
     ``match='substring'`` also finds ``director`` inside ``casting_director``;
     ``match='element'`` compares whole list elements.
     """
-    text = F.col(text) if isinstance(text, str) else text
-    word = F.lit(word) if isinstance(word, str) else word
+    listed = F.col(text)
     if case_insensitive:
-        text, word = F.lower(text), F.lower(word)
+        listed, word = F.lower(listed), word.lower()
     if match == "substring":
-        return F.contains(text, word)
+        return listed.contains(word)
     if match == "element":
-        return F.array_contains(F.split(text, ","), word)
+        return F.array_contains(F.split(listed, ","), word)
     raise ValueError(f"match must be 'substring' or 'element', not {match!r}")
 
 

@@ -60,13 +60,13 @@ def top_k_per_category(
     """The ``k`` rows with the highest ``by`` for each category that ``text`` mentions, with ``pos``
     from 0, in one pass. A row can count for several categories; each task keeps ``k`` rows per
     category before the shuffle."""
-    mentioned = F.filter(
-        F.array(*map(F.lit, categories)),
-        lambda word: mentions(text, word, match, case_insensitive),
+    mentioned = F.array(
+        *(F.when(mentions(text, word, match, case_insensitive), word) for word in categories)
     )
     order = Window.partitionBy(category).orderBy(F.desc_nulls_last(by), *tiebreak)
     return (
         df.withColumn(category, F.explode(mentioned))
+        .where(F.col(category).isNotNull())
         .withColumn("pos", F.row_number().over(order))
         .where(F.col("pos") <= k)
         .withColumn("pos", (F.col("pos") - 1).cast("bigint"))

@@ -26,12 +26,13 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def create_external_csv_table(
-    spark: SparkSession, name: str, ddl: str, location: str, sep: str = ","
+    spark: SparkSession, name: str, ddl: str, location: str, sep: str = ",", quote: str = ""
 ) -> DataFrame:
-    """A table over text files that stay where they are. Fields that do not fit the declared
-    type are NULL, ``CHAR(n)`` pads on read, and a header line counts as data."""
+    """A table over delimited text that stays where it is. Fields that do not fit the declared
+    type are NULL, ``CHAR(n)`` pads on read, quotes are data unless ``quote`` names them, and a
+    header line counts as data."""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_name(name)} ({ddl}) USING csv "
-        f"OPTIONS (sep {_literal(sep)}) LOCATION {_literal(location)}"
+        f"OPTIONS (sep {_literal(sep)}, quote {_literal(quote)}) LOCATION {_literal(location)}"
     )
     return spark.table(_name(name))

@@ -37,7 +37,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register a query under its function's name, less a trailing underscore."""
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -149,15 +150,18 @@ def sink_text_roundtrip(spark, sf):
     return text.read_lines(spark, path)
 
 
-def brewery_table(spark, sf):
-    place = scratch_folder(spark, "tables")
-    database = f"brewing_{uuid.uuid4().hex}"
+def new_database(spark, prefix):
+    """A database of its own for this run; the current one stays."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
     current = spark.catalog.currentDatabase()
-    tables.ensure_database(spark, database, f"{place}/{database}")
+    tables.ensure_database(spark, name, f"{scratch_folder(spark, 'tables')}/{name}")
     spark.catalog.setCurrentDatabase(current)
-    return tables.create_external_csv_table(
-        spark, f"{database}.breweries", BREWERY_DDL, brewery_files(spark, sf)
-    )
+    return name
+
+
+def brewery_table(spark, sf):
+    name = f"{new_database(spark, 'brewing')}.breweries"
+    return tables.create_external_csv_table(spark, name, BREWERY_DDL, brewery_files(spark, sf))
 
 
 @query
@@ -179,16 +183,14 @@ def preview_rows(spark, sf):
 def catalog_databases(spark, sf):
     """A new database, found in the list of databases, with a table over each raw dataset."""
     zones = Stage.of(spark, sf).raw_zone()
-    database = f"films_{uuid.uuid4().hex}"
-    current = spark.catalog.currentDatabase()
-    tables.ensure_database(spark, database, f"{scratch_folder(spark, 'tables')}/{database}")
+    database = new_database(spark, "films")
     counts = None
     for name in LANDING_FILES:
-        spark.catalog.createTable(name, path=zones.path(RAW, name), source="parquet")
-        rows = spark.table(f"{database}.{name}").agg(F.count("*").alias("n_rows"))
+        table_name = f"{database}.{name}"
+        spark.catalog.createTable(table_name, path=zones.path(RAW, name), source="parquet")
+        rows = spark.table(table_name).agg(F.count("*").alias("n_rows"))
         rows = rows.select(F.lit(database).alias("namespace"), F.lit(name).alias("dataset"), "n_rows")
         counts = rows if counts is None else counts.unionByName(rows)
-    spark.catalog.setCurrentDatabase(current)
     listed = tables.list_databases(spark).where(equals("namespace", database))
     return counts.join(listed, "namespace").select("dataset", "n_rows")
 
@@ -249,7 +251,7 @@ def popularity_score_only(spark, sf):
 
 
 @query
-def popularity_score_dataset(spark, sf):
+def popularity_score_(spark, sf):
     return popularity(spark, sf)
 
 
@@ -304,7 +306,7 @@ def label_capitalize(spark, sf):
 
 
 @query
-def scale_measure_by_constant(spark, sf):
+def scale_measure_(spark, sf):
     return rounded(stats(spark, sf).select("genre", scale_measure("avg_votes", 100).alias("size")), "size")
 
 
@@ -552,7 +554,7 @@ def raw_name_basics(spark, sf):
 
 
 @query
-def title_by_decade(spark, sf):
+def decade_bucket_(spark, sf):
     return flat(by_decade(spark, sf), "genres_array")
 
 
@@ -599,9 +601,3 @@ def report_talent(spark, sf):
 @query
 def report_talent_scatter(spark, sf):
     return reports.talent_scatter(people(spark, sf))
-
-
-# The survey's own keys for steps whose function name is taken above.
-QUERIES["popularity_score"] = QUERIES.pop("popularity_score_dataset")
-QUERIES["decade_bucket"] = QUERIES.pop("title_by_decade")
-QUERIES["scale_measure"] = QUERIES.pop("scale_measure_by_constant")

@@ -104,10 +104,14 @@ def test_external_table(spark, tmp_path):
 
 def test_external_table_with_another_separator(spark, tmp_path):
     (tmp_path / "p").mkdir()
-    (tmp_path / "p" / "x").write_text("1|it's\n")
+    (tmp_path / "p" / "x").write_text("1|it's\n2|\"half\n3|\"a|b\"\n")
     name = f"t_{uuid.uuid4().hex}"
-    df = tables.create_external_csv_table(spark, name, "n INT, s STRING", str(tmp_path / "p"), "|")
-    assert [tuple(r) for r in df.collect()] == [(1, "it's")]
+    ddl = "n INT, s STRING"
+    df = tables.create_external_csv_table(spark, name, ddl, str(tmp_path / "p"), "|")
+    assert [tuple(r) for r in df.collect()] == [(1, "it's"), (2, '"half'), (3, '"a')]
+    spark.sql(f"DROP TABLE {name}")
+    df = tables.create_external_csv_table(spark, name, ddl, str(tmp_path / "p"), "|", "'")
+    assert df.count() == 3
     spark.sql(f"DROP TABLE {name}")
 
 
