@@ -6,8 +6,10 @@ only the columns they need, and a lost executor costs no more than the tasks it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.functions.columns import (
@@ -22,6 +24,15 @@ from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import read_tsv
 from marquee.zones import CURATED, LANDING, LANDING_FILES, RAW, Zones
 
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs, so that the last tasks of one leave no
+    executor idle. Waits for all of them, then raises the first error."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for done in running:
+        done.result()
+
+
 def scan_landing(spark: SparkSession, zones: Zones, name: str, quote: str = "") -> DataFrame:
     """A landing file as text columns."""
     spec = LANDING_FILES[name]
@@ -39,8 +50,12 @@ def typed(df: DataFrame, name: str) -> DataFrame:
 
 def land_to_raw(spark: SparkSession, zones: Zones, quote: str = "") -> None:
     """Write the three raw datasets, one scan of each landing file."""
-    for name in LANDING_FILES:
-        write_dataset(typed(scan_landing(spark, zones, name, quote), name), zones, RAW, name)
+
+    def write(name: str) -> Callable[[], None]:
+        df = typed(scan_landing(spark, zones, name, quote), name)
+        return lambda: write_dataset(df, zones, RAW, name)
+
+    together(spark, *map(write, LANDING_FILES))
 
 
 def title_with_ratings(
@@ -79,26 +94,32 @@ def rating_splits(ratings: DataFrame) -> SplitPlan:
     return SplitPlan({}, heavy_parts({"ratings": ratings}, "tconst")["ratings"])
 
 
-def raw_to_curated(spark: SparkSession, zones: Zones) -> Iterator[str]:
-    """Write the curated datasets one after the other, giving each name when it is written."""
+def raw_to_curated(spark: SparkSession, zones: Zones) -> None:
+    """Write the six curated datasets: first those that join with the ratings, then those that
+    derive from the stored join."""
     titles, ratings, names = (read_dataset(spark, zones, RAW, n) for n in LANDING_FILES)
+    plan = rating_splits(ratings)
 
-    def keep(df: DataFrame, name: str) -> str:
-        write_dataset(df, zones, CURATED, name)
-        return name
+    def write(name: str, df: DataFrame) -> Callable[[], None]:
+        return lambda: write_dataset(df, zones, CURATED, name)
 
-    plan = rating_splits(ratings)
     joined = "title_with_ratings_nopartition"
-    yield keep(title_with_ratings(titles, ratings, plan), joined)
+    together(
+        spark,
+        write(joined, title_with_ratings(titles, ratings, plan)),
+        write("person_rating_summary", person_rating_summary(names, ratings, plan)),
+    )
     rated = read_dataset(spark, zones, CURATED, joined)
-    yield keep(title_by_genre(rated), "title_by_genre")
-    yield keep(genre_stats(rated), "genre_stats")
-    yield keep(title_popularity(rated), "title_popularity")
-    yield keep(title_by_decade(rated), "title_by_decade")
-    yield keep(person_rating_summary(names, ratings, plan), "person_rating_summary")
+    together(
+        spark,
+        write("title_by_genre", title_by_genre(rated)),
+        write("title_by_decade", title_by_decade(rated)),
+        write("title_popularity", title_popularity(rated)),
+        write("genre_stats", genre_stats(rated)),
+    )
 
 
-def curate(spark: SparkSession, zones: Zones, quote: str = "") -> list[str]:
-    """The whole run: landing to raw to curated. Gives the names of the curated datasets."""
+def curate(spark: SparkSession, zones: Zones, quote: str = "") -> None:
+    """The whole run: landing to raw to curated."""
     land_to_raw(spark, zones, quote)
-    return list(raw_to_curated(spark, zones))
+    raw_to_curated(spark, zones)

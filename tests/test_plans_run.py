@@ -7,7 +7,7 @@ from marquee import Zones, jobs
 from marquee.operators import skew
 from marquee.plans import checks, curation, reports
 from marquee.sources.datasets import read_dataset
-from marquee.zones import CURATED, CURATED_DATASETS, LANDING_FILES, RAW
+from marquee.zones import CURATED, LANDING_FILES, RAW
 
 BASICS = """tconst\ttitleType\tprimaryTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres
 tt1\tmovie\tPlain\t0\t1999\t\\N\t100\tDrama,Comedy
@@ -42,7 +42,7 @@ def zones(spark, tmp_path_factory):
     for name, content in zip(LANDING_FILES, (BASICS, RATINGS, NAMES)):
         (landing / LANDING_FILES[name].file).write_text(content)
     zones = Zones(str(root))
-    assert sorted(curation.curate(spark, zones)) == sorted(CURATED_DATASETS)
+    curation.curate(spark, zones)
     return zones
 
 
@@ -248,3 +248,13 @@ def test_many_ratings_of_one_title_are_split(spark, tmp_path, monkeypatch):
     assert people["nm1"]["title_count"] == 602 and people["nm0"]["title_count"] == 602
     assert people["nm1"]["avg_rating"] == pytest.approx((5 + 600 * 8) / 601)
     assert people["nm0"]["avg_rating"] == pytest.approx((10 + 600 * 8) / 602)
+
+
+def test_an_error_in_one_write_is_raised_after_the_others(spark, tmp_path):
+    def fail():
+        raise RuntimeError("no space")
+
+    path = str(tmp_path / "kept")
+    with pytest.raises(RuntimeError, match="no space"):
+        curation.together(spark, fail, lambda: spark.range(3).write.parquet(path))
+    assert spark.read.parquet(path).count() == 3
