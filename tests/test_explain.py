@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from marquee.suite.queries import QUERIES
 from marquee.functions.predicates import equals
 from marquee.operators import aggregates, ranking
 from marquee.plans import curation, reports
@@ -83,10 +83,10 @@ def test_first_orders_of_a_customer_are_pruned_before_the_shuffle(spark):
     assert explain(name_basics_txt(spark, SF_DIR)).count("WindowGroupLimit") >= 2
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
     Stage.of(spark, SF_DIR)
-    plan = explain(queries()[name](spark, SF_DIR))
+    plan = explain(QUERIES[name](spark, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert node not in plan
     assert "Scan " in plan

@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from marquee.suite.oracle import ORACLE_SQL
+from marquee.suite.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -36,14 +37,14 @@ def rows(columns, records):
 
 
 def test_each_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = rows(df.columns, df.collect())
-    rel = duck.execute(oracle_sql()[name])
+    rel = duck.execute(ORACLE_SQL[name])
     want = rows([d[0] for d in rel.description], rel.fetchall())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
