@@ -20,6 +20,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,14 @@ from tokenizers import Tokenizer, models
 
 from marquee.llm.common import whole_text
 
-# Words whose ids a worker remembers; beyond that it forgets half. Only speed depends on it.
-KNOWN_WORDS = 800_000
+# Words and pieces whose ids a worker remembers, of each; beyond that it forgets half. Only speed depends on it.
+KNOWN_WORDS = 400_000
+# Longer pieces are not remembered.
+LONG_PIECE = 64
 # Longer texts are cut, at places where two pieces meet in any case, before their pieces are listed.
 CHUNK_CHARS = 1 << 20
-# Bytes of text after which a batch of results is handed over.
-BATCH_CHARS = 4 << 20
+# Characters of text that are encoded together.
+BATCH_CHARS = 2 << 20
 
 
 def byte_characters() -> list[str]:
@@ -67,55 +70,65 @@ class Codec:
     """Encodes and decodes in a worker."""
 
     def __init__(self, model: str, pattern: str):
-        self.model = Tokenizer.from_str(model)
-        self.pieces = regex.compile(pattern).findall
-        table = byte_characters()
+        library = Tokenizer.from_str(model)
+        self.model, self.pieces = library.model, regex.compile(pattern).findall
         # Latin-1 maps bytes to code points one to one, so this is the byte table.
-        self.table = {b: c for b, c in enumerate(table)}
-        byte_of = {c: b for b, c in enumerate(table)}
+        self.table = dict(enumerate(byte_characters()))
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
         self.bytes_of = {
-            i: bytes(byte_of[c] for c in token) for token, i in self.model.get_vocab(False).items()
+            i: bytes(byte_of[c] for c in token) for token, i in library.get_vocab(False).items()
         }
-        self.size_of = np.zeros(max(self.bytes_of, default=0) + 1, np.int64)
-        for i, token in self.bytes_of.items():
-            self.size_of[i] = len(token)
-        self.known: dict[str, tuple[int, ...]] = {}
+        tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=-1) + 1)]
+        self.size_of = np.array([len(t) for t in tokens], np.int64)
+        self.first_of = np.cumsum(self.size_of) - self.size_of
+        self.all_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.known: dict[str, list[int]] = {}
+        self.seen: dict[str, list[int]] = {}
 
     def merge(self, text: str) -> list[int]:
         """The ids of a text, piece by piece."""
-        tokenize, table = self.model.model.tokenize, self.table
-        return [
-            token.id
-            for piece in self.pieces(text)
-            for token in tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(table))
-        ]
+        ids, seen = [], self.seen
+        for piece in self.pieces(text):
+            ids += seen.get(piece) or self._merge_piece(piece)
+        return ids
 
-    def learn(self, word: str) -> tuple[int, ...]:
-        """The ids of a word with the blank before it, which are remembered. Empty if the word
-        is empty or has white space at an end: its pieces then depend on its neighbours."""
-        if len(self.known) >= KNOWN_WORDS:
-            # What came first is what is frequent.
-            self.known = dict(islice(self.known.items(), KNOWN_WORDS // 2))
-        alone = word and not word[0].isspace() and not word[-1].isspace()
-        ids = self.known[word] = tuple(self.merge(" " + word)) if alone else ()
+    def _merge_piece(self, piece: str) -> list[int]:
+        raw = piece.encode("utf-8", "replace").decode("latin-1").translate(self.table)
+        ids = [token.id for token in self.model.tokenize(raw)]
+        if len(piece) <= LONG_PIECE:
+            self.seen[piece] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text. Between a character and a single blank two pieces always meet, so a text
-        is taken word by word; a part of it with other white space around blanks is taken whole."""
-        ids: list[int] = []
-        for n, part in enumerate(chunks(text)):
-            first, *words = part.split(" ")
-            if n and not first:
-                first, words = " " + words[0], words[1:]
-            known, learn = self.known.get, self.learn
-            each = [known(w) or learn(w) for w in words]
-            if () in each or first[-1:].isspace() or (words and not first):
-                ids.extend(self.merge(part))
-            else:
-                ids.extend(self.merge(first))
-                ids.extend(chain.from_iterable(each))
-        return np.array(ids, np.int32)
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of words with the blank before them. They are empty for a word that is
+        empty or has white space at an end: its pieces depend on its neighbours."""
+        for name in ("known", "seen"):
+            if len(have := getattr(self, name)) > KNOWN_WORDS:
+                # What came first is what is frequent.
+                setattr(self, name, dict(islice(have.items(), KNOWN_WORDS // 2)))
+        known, merge = self.known, self.merge
+        for word in words - known.keys():
+            alone = word and not word[0].isspace() and not word[-1].isspace()
+            known[word] = merge(" " + word) if alone else []
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts. Between a character and a single blank two pieces always meet, so a
+        text is taken word by word; a part of it with other white space around blanks is
+        taken whole."""
+        parts = [[part.split(" ") for part in chunks(t)] for t in texts]
+        self.learn({w for text in parts for part in text for w in part[1:]})
+        return [
+            np.fromiter(chain.from_iterable(map(self._part, text)), np.int32) for text in parts
+        ]
+
+    def _part(self, words: list[str]) -> list[int]:
+        first, rest = words[0], words[1:]
+        if not first and rest:  # the part begins with a blank
+            first, rest = " " + rest[0], rest[1:]
+        each = list(map(self.known.__getitem__, rest))
+        if [] in each or first[-1:].isspace():
+            return self.merge(" ".join(words))
+        return [*self.merge(first), *chain.from_iterable(each)]
 
     def starts(self, text: str, ids: np.ndarray) -> np.ndarray:
         """The code point of the text in which each token starts."""
@@ -127,8 +140,14 @@ class Codec:
             first = (np.cumsum((raw & 0xC0) != 0x80) - 1)[first]
         return first.astype(np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids, copied out of the byte table of the vocabulary."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.size_of):
+            raise ValueError("an id is outside of the vocabulary")
+        sizes = self.size_of[ids]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.first_of[ids] - ends + sizes, sizes)
+        return self.all_bytes[shift + np.arange(len(shift))].tobytes()
 
     def decode_each(self, ids: list[int]) -> list[str]:
         """The text that each token completes: of a character that is split over tokens, the
@@ -137,6 +156,16 @@ class Codec:
         return [step.decode(self.bytes_of[i], n == len(ids)) for n, i in enumerate(ids, 1)]
 
 
+def runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows to take together: as many as have BATCH_CHARS between them, one at least."""
+    first = total = 0
+    for row, size in enumerate(sizes.tolist(), 1):
+        total += size
+        if total >= BATCH_CHARS or row == len(sizes):
+            yield first, row
+            first, total = row, 0
+
+
 def chunks(text: str) -> Iterator[str]:
     """A text in parts. Parts end between a letter or digit and a blank, where every
     match of the pattern ends too, and which no match looks across."""
@@ -172,19 +201,14 @@ def encode(
         codec = _codec(*spec.value)
         for batch in arrow:
             keys, texts = batch.column(0), batch.column(1)
-            first, ids, starts, size = 0, [], [], 0
-            for row in range(len(texts)):
-                whole = texts[row].as_py()
-                one = codec.encode(whole)
-                ids.append(one)
-                starts.append(codec.starts(whole, one))
-                size += len(one)
-                if 3 * size >= BATCH_CHARS or row + 1 == len(texts):
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.slice(first, row + 1 - first), _lists(ids), _lists(starts)],
-                        names=[key, "ids", "starts"],
-                    )
-                    first, ids, starts, size = row + 1, [], [], 0
+            for first, last in runs(pc.utf8_length(texts).to_numpy(False)):
+                some = texts.slice(first, last - first).to_pylist()
+                ids = codec.encode(some)
+                starts = [codec.starts(*both) for both in zip(some, ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(first, last - first), _lists(ids), _lists(starts)],
+                    names=[key, "ids", "starts"],
+                )
 
     return docs.select(key, whole_text(text).alias("text")).mapInArrow(
         batches, f"`{key}` {kind}, {ENCODED}"
@@ -200,10 +224,9 @@ def decode(encoded: DataFrame, model: str, key: str = "doc_id") -> DataFrame:
     at = columns.index("ids")
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(spec.value, "")
+        codec = _codec(spec.value, ".")
         for batch in arrow:
-            lists = batch.column(at)
-            raw = [None if x is None else codec.decode(x) for x in lists.to_pylist()]
+            raw = [codec.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(raw, pa.binary())], names=[*columns, "decoded"]
             )
@@ -225,7 +248,7 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document encoded and decoded again: digests of the ids and of the decoded bytes,
-    and the number of tokens that start within a character."""
+    and where the last token starts."""
     model, pattern = vocabulary()
     both = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), model, pattern), model)
     return both.select(
@@ -233,5 +256,5 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.size("starts") - F.size(F.array_distinct("starts"))).cast("bigint").alias("n_split"),
+        F.try_element_at("starts", F.lit(-1)).cast("bigint").alias("last_start"),
     )
