@@ -7,9 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.bpe import op1_byte_bpe
+from marquee.llm.exact import OP9_SQL, op9_exact_dedup
+from marquee.llm.mixing import OP10_SQL, op10_mixing
+from marquee.llm.secret_scan import op4_secret_scan
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_secret_scan": op4_secret_scan,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {
+    "op9_exact_dedup": OP9_SQL,
+    "op10_mixing": OP10_SQL,
+}
