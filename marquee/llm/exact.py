@@ -20,7 +20,14 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import Work, digest, whole_text
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk, of which each step stores what it changed; no space is set aside per partition.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 GROUP = "digest string, n long, keep struct<id: long, file: string, row: long>"
 
 
@@ -59,9 +66,9 @@ def update_state(
         # One folder for each batch, so that a batch that runs again replaces what it wrote.
         batch.write.mode("overwrite").parquet(f"{changed}/batch={number}")
 
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
     try:
         run = (
             state.writeStream.outputMode("update")
@@ -72,7 +79,8 @@ def update_state(
         )
         run.awaitTermination()
     finally:
-        spark.conf.set(provider, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     if run.lastProgress is None and not run.recentProgress:
         return spark.createDataFrame([], GROUP)
     # An entry only grows, so its last state is its largest.
@@ -95,15 +103,19 @@ def groups(
     ``digest``, ``keep_id``, ``group_size``, ``kept``."""
     state = work.stored(update_state(spark, folder, work, key, text, content), "groups")
     rows = arrivals(spark.read.parquet(folder), key, text, content)
-    hits = state.where(F.col("n") > 1)
-    held = hits.select("digest", F.col("keep.file").alias("file"), F.col("keep.row").alias("row")).join(
-        rows.select("file", "row", F.col("text").alias("held")), ["file", "row"]
-    )
     # The bytes of every hit against those that the state points to; digests that do not tell
     # texts apart come out, of which a cryptographic digest has none.
+    hits = state.where(F.col("n") > 1).select("digest", "keep")
+    met = work.stored(
+        rows.join(hits, "digest").select(
+            "digest", "text", (F.struct("file", "row") == F.struct("keep.file", "keep.row")).alias("held")
+        ),
+        "hits",
+    )
+    held = met.where("held").select("digest", F.col("text").alias("content"))
     unlike = work.stored(
-        rows.select("digest", "text").join(held.select("digest", "held"), "digest")
-        .where(F.col("text") != F.col("held")).select("digest").distinct(),
+        met.where("not held").join(held, "digest").where(F.col("text") != F.col("content"))
+        .select("digest").distinct(),
         "unlike",
     )
     narrow = rows.drop("text")
