@@ -114,8 +114,7 @@ def groups(
     )
     held = met.where("held").select("digest", F.col("text").alias("content"))
     unlike = work.stored(
-        met.where("not held").join(held, "digest").where(F.col("text") != F.col("content"))
-        .select("digest").distinct(),
+        met.where("not held").join(held, "digest").where(F.col("text") != F.col("content")).select("digest"),
         "unlike",
     )
     narrow = rows.drop("text")
