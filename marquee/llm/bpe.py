@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -82,19 +83,25 @@ class Codec:
         self.size_of = np.array([len(t) for t in tokens], np.int64)
         self.first_of = np.cumsum(self.size_of) - self.size_of
         self.all_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        # One object per id, whatever number of remembered words holds it.
+        self.number = list(range(len(self.size_of)))
+        self.decimal = list(map(str, self.number))
         self.known: dict[str, list[int]] = {}
         self.seen: dict[str, list[int]] = {}
 
     def merge(self, text: str) -> list[int]:
         """The ids of a text, piece by piece."""
-        ids, seen = [], self.seen
-        for piece in self.pieces(text):
+        pieces, seen = self.pieces(text), self.seen
+        if len(pieces) == 1:
+            return seen.get(pieces[0]) or self._merge_piece(pieces[0])
+        ids = []
+        for piece in pieces:
             ids += seen.get(piece) or self._merge_piece(piece)
         return ids
 
     def _merge_piece(self, piece: str) -> list[int]:
         raw = piece.encode("utf-8", "replace").decode("latin-1").translate(self.table)
-        ids = [token.id for token in self.model.tokenize(raw)]
+        ids = [self.number[token.id] for token in self.model.tokenize(raw)]
         if len(piece) <= LONG_PIECE:
             self.seen[piece] = ids
         return ids
@@ -234,6 +241,48 @@ def decode(encoded: DataFrame, model: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(*columns).mapInArrow(batches, f"{given}, decoded binary")
 
 
+def digests(
+    docs: DataFrame, model: str, pattern: str, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Encodes each text and decodes the ids again, and gives digests of both in place of the
+    ids and bytes: ``key``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and ``last_start``, the
+    code point in which the last token starts."""
+    spec = docs.sparkSession.sparkContext.broadcast((model, pattern))
+    kind = docs.schema[key].dataType.simpleString()
+
+    def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(*spec.value)
+        for batch in arrow:
+            keys, texts = batch.column(0), batch.column(1)
+            for first, last in runs(pc.utf8_length(texts).to_numpy(False)):
+                rows = []
+                some = texts.slice(first, last - first).to_pylist()
+                for whole, ids in zip(some, codec.encode(some)):
+                    numbers = " ".join(map(codec.decimal.__getitem__, ids.tolist()))
+                    starts = codec.starts(whole, ids)
+                    rows.append(
+                        (
+                            len(ids),
+                            hashlib.sha256(numbers.encode()).hexdigest(),
+                            hashlib.sha256(codec.decode(ids)).hexdigest(),
+                            int(starts[-1]) if len(starts) else None,
+                        )
+                    )
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), DIGEST_TYPES)]
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(first, last - first), *columns], names=[key, *DIGEST_NAMES]
+                )
+
+    return docs.select(key, whole_text(text).alias("text")).mapInArrow(
+        batches,
+        f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, last_start long",
+    )
+
+
+DIGEST_NAMES = ("n_tokens", "ids_sha256", "decoded_sha256", "last_start")
+DIGEST_TYPES = (pa.int64(), pa.string(), pa.string(), pa.int64())
+
+
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))
@@ -250,11 +299,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document encoded and decoded again: digests of the ids and of the decoded bytes,
     and where the last token starts."""
     model, pattern = vocabulary()
-    both = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), model, pattern), model)
-    return both.select(
-        "doc_id",
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), model, pattern)
+
+
+def stage_byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as training data: identifier and source, ids, and where each token starts."""
+    model, pattern = vocabulary()
+    keyed = docs.withColumn("__key", F.to_json(F.struct("doc_id", "source")))
+    return encode(keyed, model, pattern, "__key").select(
+        *(F.from_json("__key", "doc_id long, source string")[c].alias(c) for c in ("doc_id", "source")),
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.try_element_at("starts", F.lit(-1)).cast("bigint").alias("last_start"),
+        "ids",
+        "starts",
     )
