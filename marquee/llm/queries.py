@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm.bpe import op1_byte_bpe
 from marquee.llm.exact import OP9_SQL, op9_exact_dedup
 from marquee.llm.mixing import OP10_SQL, op10_mixing
+from marquee.llm.near_dedup import op5_near_dedup
 from marquee.llm.quality import op7_quality
 from marquee.llm.secret_scan import op4_secret_scan
 from marquee.llm.toxicity import op3_toxicity
@@ -17,6 +18,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
+    "op5_near_dedup": op5_near_dedup,
     "op7_quality": op7_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
