@@ -12,6 +12,7 @@ from marquee.llm.mixing import OP10_SQL, op10_mixing
 from marquee.llm.near_dedup import op5_near_dedup
 from marquee.llm.quality import op7_quality
 from marquee.llm.secret_scan import op4_secret_scan
+from marquee.llm.substring import op6_substring_dedup
 from marquee.llm.toxicity import op3_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_near_dedup": op5_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality": op7_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
