@@ -8,20 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.bpe import op1_byte_bpe
 from marquee.llm.exact import OP9_SQL, op9_exact_dedup
+from marquee.llm.lm_scoring import op2_lm_scoring
 from marquee.llm.mixing import OP10_SQL, op10_mixing
 from marquee.llm.near_dedup import op5_near_dedup
 from marquee.llm.quality import op7_quality
 from marquee.llm.secret_scan import op4_secret_scan
 from marquee.llm.substring import op6_substring_dedup
 from marquee.llm.toxicity import op3_toxicity
+from marquee.llm.vectors import op8_vector_dedup
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_near_dedup": op5_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality": op7_quality,
+    "op8_vector_dedup": op8_vector_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
 }
