@@ -25,23 +25,23 @@ title_ratings_txt AS (
   SELECT concat('tt', lpad(CAST(l_orderkey AS VARCHAR), 12, '0')) AS tconst,
     CAST(CAST(1 + (CAST(sum(l_quantity) AS BIGINT) * 7) % 90 AS DOUBLE) / 10 AS VARCHAR) AS averageRating,
     CAST(CAST(sum(l_quantity) AS BIGINT) * (1 + l_orderkey % 50) AS VARCHAR) AS numVotes
-  FROM lineitem WHERE l_orderkey % 11 <> 0 GROUP BY l_orderkey
+  FROM lineitem GROUP BY l_orderkey
 ),
 known AS (
-  SELECT o_custkey,
-    string_agg(concat('tt', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')), ',' ORDER BY o_orderkey) AS titles
-  FROM (SELECT o_custkey, o_orderkey,
-          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) r
-  WHERE rn <= 1 + o_custkey % 4 GROUP BY o_custkey
+  SELECT o_custkey, o_orderkey // 65536 AS block,
+    string_agg(DISTINCT concat('tt', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')), ','
+      ORDER BY concat('tt', lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))) AS titles
+  FROM orders GROUP BY o_custkey, block
 ),
 name_basics_txt AS (
-  SELECT concat('nm', lpad(CAST(c_custkey AS VARCHAR), 12, '0')) AS nconst, c_name AS primaryName,
+  SELECT concat('nm', lpad(CAST(c_custkey AS VARCHAR), 12, '0'), '-',
+      CAST(coalesce(block, 0) AS VARCHAR)) AS nconst, c_name AS primaryName,
     CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE
       CASE c_mktsegment WHEN 'MACHINERY' THEN 'actor,producer' WHEN 'BUILDING' THEN 'actress'
         WHEN 'AUTOMOBILE' THEN 'casting_director' WHEN 'FURNITURE' THEN 'writer,director'
         ELSE 'producer' END
     END AS primaryProfession,
-    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE titles END AS knownForTitles
+    titles AS knownForTitles
   FROM customer LEFT JOIN known ON o_custkey = c_custkey
 ),
 titles AS (

@@ -1,14 +1,13 @@
 """Landing files, raw datasets and small companions derived from the order tables with Spark.
 
-One title per order (genres are the brands of its parts), a rating for most orders that
-have line items, one person per customer. NULLs, malformed years, empty genres and unrated titles come in by rule.
+One title per order (genres are the brands of its parts), a rating for every order that
+has line items, a person per customer and block of order keys. NULLs, malformed years, empty genres and unrated titles come in by rule.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from marquee.operators.skew import SplitPlan, heavy_parts, split_join
 from marquee.plans.curation import rating_splits, typed
@@ -18,6 +17,10 @@ from marquee.sources.text import write_tsv
 from marquee.zones import LANDING, LANDING_FILES, RAW, Zones
 
 
+# Order keys from which the known titles of one person come.
+KEYS_PER_PERSON = 65_536
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -71,7 +74,6 @@ def title_ratings_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.sum("l_quantity").cast("bigint")
     return (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_orderkey") % 11 != 0)
         .groupBy("l_orderkey")
         .agg(quantity.alias("quantity"))
         .select(
@@ -84,19 +86,17 @@ def title_ratings_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def name_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    # The constant bound lets each task drop all but the first four orders of a customer
-    # before the shuffle, however many orders the customer has.
-    first = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    # A person per customer and block of order keys, so a customer's orders are all known titles,
+    # and arithmetic bounds the set of one person.
+    block = F.floor(F.col("o_orderkey") / KEYS_PER_PERSON).cast("bigint")
     known = (
         table(spark, sf_dir, "orders")
-        .select("o_custkey", "o_orderkey", F.row_number().over(first).alias("rn"))
-        .where((F.col("rn") <= 4) & (F.col("rn") <= 1 + F.col("o_custkey") % 4))
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.array_join(F.sort_array(F.collect_list(_id("tt", "o_orderkey"))), ",").alias("known"))
+        .groupBy(F.col("o_custkey").alias("c_custkey"), block.alias("block"))
+        .agg(F.array_join(F.sort_array(F.collect_set(_id("tt", "o_orderkey"))), ",").alias("known"))
     )
     key = F.col("c_custkey")
     return _attach(customer, "c_custkey", known).select(
-        _id("nm", "c_custkey").alias("nconst"),
+        F.concat(_id("nm", "c_custkey"), F.lit("-"), F.coalesce("block", F.lit(0)).cast("string")).alias("nconst"),
         F.col("c_name").alias("primaryName"),
         F.when(key % 23 == 0, None)
         .when(F.col("c_mktsegment") == "MACHINERY", "actor,producer")
@@ -105,7 +105,7 @@ def name_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("c_mktsegment") == "FURNITURE", "writer,director")
         .otherwise("producer")
         .alias("primaryProfession"),
-        F.when(key % 13 != 0, F.col("known")).alias("knownForTitles"),
+        F.col("known").alias("knownForTitles"),
     )
 
 

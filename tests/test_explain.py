@@ -77,10 +77,16 @@ def test_talent_is_pruned_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
-def test_first_orders_of_a_customer_are_pruned_before_the_shuffle(spark):
-    from marquee.suite.views import name_basics_txt
+def test_all_orders_are_known_titles_and_all_with_line_items_rated(spark):
+    from marquee.suite.views import name_basics_txt, table, title_ratings_txt
 
-    assert explain(name_basics_txt(spark, SF_DIR)).count("WindowGroupLimit") >= 2
+    known = name_basics_txt(spark, SF_DIR).select(F.explode(F.split("knownForTitles", ",")).alias("t"))
+    orders = table(spark, SF_DIR, "orders").join(
+        table(spark, SF_DIR, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    assert known.distinct().count() == orders.select("o_orderkey").distinct().count()
+    lines = table(spark, SF_DIR, "lineitem").select("l_orderkey").distinct()
+    assert title_ratings_txt(spark, SF_DIR).count() == lines.count()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
