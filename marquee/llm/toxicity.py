@@ -97,7 +97,8 @@ class Model:
         return sum(e for e in each if e > 0)
 
     def score(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.base + self.slope * evidence))))
+        total = self.base + self.slope * evidence
+        return 0.0 if total < -500 else 1 / (1 + math.exp(-total))
 
 
 class Memo(dict):
