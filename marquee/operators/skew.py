@@ -22,8 +22,6 @@ from marquee.sources.local import local_rows
 ROWS_PER_TASK = 4_000_000
 # Keys are first counted together in this many buckets.
 BUCKETS = 32_768
-# Longest list of split keys per side; it is collected and broadcast.
-MAX_SPLIT_KEYS = 1_000
 
 # Key value (None for NULL) to the number of parts its rows are split into.
 Parts = dict[object, int]
@@ -49,9 +47,7 @@ def heavy_parts(
         keys.groupBy("side", "bucket")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > rows_per_task)
-        .orderBy("side", F.desc("n"))
-        .limit(BUCKETS * len(names))
-        .collect()
+        .collect()  # a row per side and bucket at most
     )
     parts: dict[str, Parts] = {name: {} for name in names}
     for side, name in enumerate(names):
@@ -59,15 +55,14 @@ def heavy_parts(
         if not loads:
             continue
         usual = median([*loads.values(), *[0] * (BUCKETS - len(loads))])
-        suspects = [b for b, n in loads.items() if n > usual + rows_per_task][:MAX_SPLIT_KEYS]
+        suspects = [b for b, n in loads.items() if n > usual + rows_per_task]
         heavy = (
             keys.where((F.col("side") == side) & F.col("bucket").isin(suspects))
             .groupBy("key")
             .agg(F.count("*").alias("n"))
             .where(F.col("n") > rows_per_task)
-            .orderBy(F.desc("n"))
-            .limit(MAX_SPLIT_KEYS)
         )
+        # At most one key per ``rows_per_task`` rows.
         parts[name] = {r["key"]: -(-r["n"] // rows_per_task) for r in heavy.collect()}
     return parts
 
@@ -106,7 +101,7 @@ def _part_counts(right: DataFrame, key: str, left_parts: Parts, right_parts: Par
     # so the split holds only for keys that the right side has at the time of the join.
     present = right.where(F.col(key).isin(list(right_parts))).select(key).distinct()
     return counts.join(
-        F.broadcast(present.withColumn("__present", F.lit(True))), key, "left"
+        present.withColumn("__present", F.lit(True)), key, "left"
     ).select(key, "__a", F.when(F.col("__present"), F.col("__b")).alias("__b"))
 
 
@@ -144,8 +139,7 @@ def split_join(
     null_parts = plan.left.get(None, 1)
     a, b = F.lit(1), F.coalesce("__b", F.lit(1))
     if left_parts or right_parts:
-        # At most MAX_SPLIT_KEYS rows per side.
-        counts = F.broadcast(_part_counts(right, key, left_parts, right_parts))
+        counts = _part_counts(right, key, left_parts, right_parts)
         left, right = left.join(counts, key, "left"), right.join(counts, key, "left")
         a = F.coalesce("__a", F.lit(1))
 

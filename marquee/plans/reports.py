@@ -146,8 +146,7 @@ def talent(
     panels = people.sparkSession.range(1, numPartitions=1).select(
         F.explode(F.array(*map(F.lit, professions))).alias("profession")
     )
-    # At most k rows per profession are left, so this side is small by construction.
-    frame = panels.join(F.broadcast(best), "profession", "left")
+    frame = panels.join(best, "profession", "left")
     empty = F.col("nconst").isNull()
     capital = labels.capitalize("profession")
     return frame.select(

@@ -32,9 +32,20 @@ def read_tsv(
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    r"""The inverse of :func:`read_tsv`: header line, ``\N`` for NULL, no quoting."""
+    r"""The inverse of :func:`read_tsv`: header line, ``\N`` for NULL, no quoting. Empty texts read back as
+    NULL. A value that the format cannot hold (with a tab or line end, or a literal ``\N``) is an error."""
+    held = [
+        F.when(
+            F.col(f"`{f.name}`").cast("string").rlike(r"[\t\r\n]|^\\N$"),
+            F.raise_error(F.lit(f"{f.name} holds a tab, a line end or the NULL mark")).cast(f.dataType),
+        ).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+        for f in df.schema
+    ]
     (
-        df.write.mode(mode)
+        df.select(*held).write.mode(mode)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("emptyValue", "")
         .option("sep", "\t")
         .option("header", True)
         .option("nullValue", "\\N")

@@ -175,3 +175,15 @@ def test_session_settings(spark):
     again = build_session("other", spark__sql__shuffle__partitions=4)
     assert again.conf.get("spark.sql.shuffle.partitions") == "4"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_tsv_keeps_blanks_and_refuses_what_it_cannot_hold(spark, tmp_path):
+    from marquee.sources.text import read_tsv, write_tsv
+
+    rows = spark.createDataFrame([(" a ", "x"), ("", "y"), (None, "z")], "v string, k string")
+    write_tsv(rows, str(tmp_path / "ok"))
+    got = {r["k"]: r["v"] for r in read_tsv(spark, str(tmp_path / "ok")).collect()}
+    assert got == {"x": " a ", "y": None, "z": None}
+    for n, bad in enumerate(("a\tb", "a\nb", "a\rb", "\\N")):
+        with pytest.raises(Exception, match="v holds a tab"):
+            write_tsv(spark.createDataFrame([(bad,)], "v string"), str(tmp_path / f"bad{n}"))
