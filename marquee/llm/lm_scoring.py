@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Work, table, whole_text
+from marquee.llm.common import WORD, Work, table, whole_text
 from marquee.llm.words import BASE, mix, word_numbers
 
 ORDER = 3
@@ -148,5 +148,24 @@ def scores(docs: DataFrame, work: Work, order: int = ORDER) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's score under the model of all documents."""
-    return scores(table(spark, sf_dir, "documents"), Work(spark, "lm"))
+    """Each document's score under the model of all documents, rounded since the last digits depend on
+    the order of summation."""
+    scored = scores(table(spark, sf_dir, "documents"), Work(spark, "lm"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "score")})
+
+
+OP2_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS id, doc_id,
+  regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+placed AS (SELECT id, unnest(words) AS c, unnest(list_concat([''], words[:len(words) - 1])) AS b,
+  unnest(list_concat(['', ''], words[:greatest(len(words) - 2, 0)])[:len(words)]) AS a FROM texts WHERE len(words) > 0),
+counted AS (SELECT id, count(*) OVER (PARTITION BY a, b, c) AS n3, count(*) OVER (PARTITION BY a, b) AS whole3,
+  count(*) OVER (PARTITION BY b, c) AS n2, count(*) OVER (PARTITION BY b) AS whole2,
+  count(*) OVER (PARTITION BY c) AS n1, count(*) OVER () AS whole1 FROM placed),
+logs AS (SELECT id, CASE WHEN n3 >= {LEAST_COUNT} THEN ln(n3 / whole3)
+  WHEN n2 >= {LEAST_COUNT} THEN ln({BACKOFF} * n2 / whole2)
+  ELSE ln({BACKOFF} * {BACKOFF} * n1 / whole1) END AS log FROM counted),
+summed AS (SELECT id, count(*) AS n, sum(log) AS log FROM logs GROUP BY id)
+SELECT doc_id, coalesce(n, 0) AS n_words, round(log, 6) AS log_score, round(log / n, 6) AS score
+FROM texts LEFT JOIN summed USING (id)
+"""

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Work, table, whole_text
+from marquee.llm.common import WORD, Work, table, whole_text
 from marquee.llm.components import components
 from marquee.llm.words import BASE, mix, shingles, stream, word_numbers
 
@@ -252,3 +253,21 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     work = Work(spark, "near-stage")
     dropped = near_duplicates(docs, work).where("not kept").select(F.col("doc_id").alias("__dropped"))
     return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")
+
+
+OP5_SQL = f"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS id, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '{WORD}') AS words
+  FROM documents),
+starts AS (SELECT id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM texts WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT id, array_to_string(words[i:i + 2], ' ') AS s FROM starts),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+common AS (SELECT x.id AS a, y.id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.id <> y.id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b
+  WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)),
+reach AS (SELECT id, id AS other FROM texts UNION SELECT reach.id, b FROM reach JOIN links ON other = a),
+least AS (SELECT reach.id, min(t.doc_id) AS component_id FROM reach JOIN texts t ON t.id = other GROUP BY reach.id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM texts JOIN least USING (id) LEFT JOIN sizes USING (id)
+"""

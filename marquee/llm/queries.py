@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.bpe import op1_byte_bpe
 from marquee.llm.exact import OP9_SQL, op9_exact_dedup
-from marquee.llm.lm_scoring import op2_lm_scoring
+from marquee.llm.lm_scoring import OP2_SQL, op2_lm_scoring
 from marquee.llm.mixing import OP10_SQL, op10_mixing
-from marquee.llm.near_dedup import op5_near_dedup
+from marquee.llm.near_dedup import OP5_SQL, op5_near_dedup
 from marquee.llm.quality import op7_quality
-from marquee.llm.secret_scan import op4_secret_scan
-from marquee.llm.substring import op6_substring_dedup
+from marquee.llm.secret_scan import OP4_SQL, op4_secret_scan
+from marquee.llm.substring import OP6_SQL, op6_substring_dedup
 from marquee.llm.toxicity import op3_toxicity
 from marquee.llm.vectors import op8_vector_dedup
 
@@ -31,6 +31,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_SQL: dict[str, str] = {
+    "op2_lm_scoring": OP2_SQL,
+    "op4_secret_scan": OP4_SQL,
+    "op5_near_dedup": OP5_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_mixing": OP10_SQL,
 }

@@ -166,3 +166,35 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
     )
+
+
+def _found_sql(rule: Rule, place: int) -> str:
+    """Lengths of the text between the matches, of the matches and of their values."""
+    pattern = rule.pattern.replace("'", "''")
+    return (
+        f"SELECT id, {place} AS place, '{rule.kind}' AS kind, {rule.least} AS least, "
+        f"list_transform(regexp_split_to_array(text, '{pattern}'), lambda x: length(x)) AS before, "
+        f"list_transform(regexp_extract_all(text, '{pattern}', 0), lambda x: length(x)) AS size, "
+        f"list_transform(regexp_extract_all(text, '{pattern}', {rule.value}), lambda x: length(x)) AS worth FROM texts"
+    )
+
+
+_FOUND = " UNION ALL ".join(_found_sql(rule, place) for place, rule in enumerate(RULES))
+_BASE = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+_COUNTS = ", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES)
+
+OP4_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({_FOUND}),
+single AS (SELECT id, place, kind, least, unnest(range(1, len(size) + 1)) AS i, unnest(before[:len(size)]) AS before,
+  unnest(size) AS size, unnest(worth) AS worth FROM found),
+placed AS (SELECT *, sum(before + size) OVER (PARTITION BY id, place ORDER BY i) AS stop FROM single),
+spans AS (SELECT id, place, kind, stop - size AS start, concat_ws(':', kind, stop - size, stop) AS span
+  FROM placed WHERE worth >= least),
+listed AS (SELECT id, {_COUNTS},
+  string_agg(span, ',' ORDER BY start, place) FILTER (kind IN ({_BASE})) AS base,
+  string_agg(span, ',' ORDER BY start, place) AS spans FROM spans GROUP BY id)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (id)
+"""

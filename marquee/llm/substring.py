@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Work, table, whole_text
+from marquee.llm.common import WORD, Work, table, whole_text
 from marquee.llm.words import BASE, mix, powers, word_numbers
 
 LENGTH = 35
@@ -237,3 +237,19 @@ def remove_repeats(docs: DataFrame, work: Work, length: int = LENGTH) -> DataFra
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the words that repeated passages take from it."""
     return remove_repeats(table(spark, sf_dir, "documents"), Work(spark, "passages"))
+
+
+OP6_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS id, doc_id,
+  regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+starts AS (SELECT id, words, unnest(range(1, len(words) - {LENGTH} + 2)) AS i FROM texts WHERE len(words) >= {LENGTH}),
+windows AS (SELECT id, i, md5(array_to_string(words[i:i + {LENGTH} - 1], ' ')) AS w FROM starts),
+repeated AS (SELECT id, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+covered AS (SELECT DISTINCT id, unnest(range(i, i + {LENGTH})) AS i FROM repeated),
+single AS (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
+kept AS (SELECT id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM single ANTI JOIN covered USING (id, i) GROUP BY id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (id)
+"""
