@@ -6,7 +6,7 @@ import argparse
 
 from marquee.plans.checks import require_landing, zone_inventory
 from marquee.plans.curation import curate
-from marquee.plans.reports import build_reports
+from marquee.plans.reports import write_reports
 from marquee.session import build_session
 from marquee.zones import Zones
 
@@ -29,10 +29,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "curate":
         require_landing(spark, zones)
         curate(spark, zones, args.quote)
-        zone_inventory(spark, zones).show(truncate=False)
+        inventory = zone_inventory(spark, zones)
+        inventory.show(truncate=False)
+        lacking = [f"{r['zone']}/{r['dataset']}" for r in inventory.where("not ok").collect()]
+        print(f"incomplete: {', '.join(lacking)}" if lacking else "complete")
     else:
-        for panel, frame in build_reports(spark, zones).items():
-            frame.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{panel}")
+        for folder in write_reports(spark, zones, args.output):
+            print(folder)
 
 
 if __name__ == "__main__":

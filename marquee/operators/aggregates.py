@@ -48,10 +48,17 @@ def person_rating_summary(
 
 
 def decade_stats(
-    decades: DataFrame, title_type: str = "movie", first: int = 1900, last: int = 2020
+    decades: DataFrame,
+    title_type: str = "movie",
+    first: int = 1900,
+    last: int = 2020,
+    year: str | None = None,
 ) -> DataFrame:
-    """Movies, average rating, votes and runtime per decade from ``first`` to ``last``, in order."""
+    """Movies, average rating, votes and runtime per decade from ``first`` to ``last``, in order. Where the
+    decade is not stored but computed from a column, naming it as ``year`` lets its range reach the scan."""
     kept = decades.where(equals("titleType", title_type) & in_range("decade", first, last))
+    if year:
+        kept = kept.where(in_range(year, first, last + 9))
     return group_stats(
         kept,
         "decade",

@@ -20,6 +20,21 @@ def top_k(df: DataFrame, by: str, k: int, *tiebreak: str | Column) -> DataFrame:
     return sort_desc(df, by, *tiebreak).limit(k)
 
 
+def top_k_in_lanes(
+    df: DataFrame, by: str, k: int, *tiebreak: str | Column, lanes: int = 64
+) -> DataFrame:
+    """:func:`top_k` for a large ``k``: the tasks' rows first meet in ``lanes`` tasks, so the task that
+    merges reads ``lanes`` times ``k`` rows however many tasks there are."""
+    order = Window.partitionBy("__lane").orderBy(F.desc_nulls_last(by), *tiebreak)
+    best = (
+        df.withColumn("__lane", F.spark_partition_id() % lanes)
+        .withColumn("__place", F.row_number().over(order))
+        .where(F.col("__place") <= k)
+        .drop("__lane", "__place")
+    )
+    return top_k(best, by, k, *tiebreak)
+
+
 def n_largest(df: DataFrame, by: str, k: int, *prior_order: str | Column) -> DataFrame:
     """The ``k`` highest values of an already ordered frame: ties keep ``prior_order``, NULLs
     only fill up the tail."""
@@ -40,10 +55,12 @@ def every_nth(df: DataFrame, n: int, k: int, *order: str | Column) -> DataFrame:
     return with_pos(df, k, *order).where(F.col("pos") % n == 0)
 
 
-def label_pos_rel(df: DataFrame, value: str, share: float, dst: str = "label_x") -> DataFrame:
-    """Label position: the value and ``share`` of the frame's maximum. For chart frames that a
-    limit has bounded already; they are in one task anyway."""
-    return df.withColumn(dst, F.col(value) + F.max(value).over(Window.partitionBy()) * share)
+def label_pos_rel(
+    df: DataFrame, value: str, share: float, k: int, *order: str | Column, dst: str = "label_x"
+) -> DataFrame:
+    """Label position of the first ``k`` rows in ``order``: the value and ``share`` of their maximum."""
+    first = df.orderBy(*order).limit(k)
+    return first.withColumn(dst, F.col(value) + F.max(value).over(Window.partitionBy()) * share)
 
 
 def top_k_per_category(

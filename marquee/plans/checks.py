@@ -16,6 +16,10 @@ MIN_LANDING_FILES = 3
 MIN_DATASETS = {RAW: 3, CURATED: 6}
 
 
+def _absent(error: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in (error.getCondition() or "")
+
+
 def _entries(spark: SparkSession, zones: Zones, zone: str) -> DataFrame:
     """Files and folders directly below a zone: ``entry``, ``n_files``. Lists names, reads no data."""
     folder = zones.path(zone)
@@ -24,7 +28,7 @@ def _entries(spark: SparkSession, zones: Zones, zone: str) -> DataFrame:
             spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
         ).select("path")
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+        if not _absent(error):
             raise
         files = spark.range(0).select(F.lit("").alias("path"))
     below = F.substring_index("path", f"/{zone}/{zones.catalogue}/", -1)
@@ -36,10 +40,14 @@ def _entries(spark: SparkSession, zones: Zones, zone: str) -> DataFrame:
 
 
 def check_landing(
-    spark: SparkSession, zones: Zones, expected: Mapping[str, str] | None = None
+    spark: SparkSession,
+    zones: Zones,
+    expected: Mapping[str, str] | None = None,
+    lines: bool = False,
 ) -> DataFrame:
     """One row per expected landing file: ``dataset``, ``present``, ``n_tsv`` and ``ok``, which holds when
-    all expected files are there and the zone has at least three TSV files."""
+    all expected files are there and the zone has at least three TSV files. With ``lines`` the files are
+    read, and ``n_lines`` counts their lines without the headers (NULL if absent)."""
     expected = expected or {name: spec.file for name, spec in LANDING_FILES.items()}
     wanted = local_rows(spark, dataset=list(expected), entry=list(expected.values()))
     tsv = _entries(spark, zones, LANDING).where(F.col("entry").endswith(".tsv"))
@@ -48,7 +56,7 @@ def check_landing(
         F.count("*").alias("n_tsv"),
         F.collect_set("dataset").alias("found"),
     )
-    return summary.select(
+    checked = summary.select(
         F.explode(F.array(*(F.lit(d) for d in expected))).alias("dataset"), "n_tsv", "found"
     ).select(
         "dataset",
@@ -56,6 +64,20 @@ def check_landing(
         "n_tsv",
         ((F.size("found") == len(expected)) & (F.col("n_tsv") >= MIN_LANDING_FILES)).alias("ok"),
     )
+    if not lines:
+        return checked
+    counts = spark.range(0).select(F.lit("").alias("dataset"), F.col("id").alias("n_lines"))
+    for name, file in expected.items():
+        try:
+            text = spark.read.text(zones.path(LANDING, file))
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
+            continue
+        per_file = text.groupBy("_metadata.file_path").agg((F.count("*") - 1).alias("n"))
+        total = per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_lines"))
+        counts = counts.unionByName(total.select(F.lit(name).alias("dataset"), "n_lines"))
+    return checked.join(counts, "dataset", "left")
 
 
 def require_landing(spark: SparkSession, zones: Zones) -> None:
@@ -75,7 +97,8 @@ def zone_inventory(
     minimum: Mapping[str, int] = MIN_DATASETS,
 ) -> DataFrame:
     """One row per expected dataset: ``zone``, ``dataset``, ``n_files``, ``n_rows`` (NULL if absent) and
-    ``ok``, which holds when it is there and its zone has at least ``minimum`` datasets. Never fails."""
+    ``ok``, which holds when it is there and its zone has at least ``minimum`` datasets. A dataset that is
+    there but cannot be read is an error."""
     expected = expected or {RAW: tuple(LANDING_FILES), CURATED: CURATED_DATASETS}
     listing = None
     for zone, names in expected.items():
@@ -99,7 +122,9 @@ def zone_inventory(
         for name in names:
             try:
                 rows = spark.read.parquet(zones.path(zone, name)).agg(F.count("*").alias("n_rows"))
-            except AnalysisException:
+            except AnalysisException as error:
+                if not _absent(error):
+                    raise
                 continue
             rows = rows.select(F.lit(zone).alias("zone"), F.lit(name).alias("dataset"), "n_rows")
             counts = rows if counts is None else counts.unionByName(rows)
@@ -114,3 +139,11 @@ def zone_inventory(
         "n_rows",
         (F.col("n_rows").isNotNull() & (F.col("n_entries") >= needed[F.col("zone")])).alias("ok"),
     )
+
+
+def require_curated(spark: SparkSession, zones: Zones) -> None:
+    """Raise unless every curated dataset is there, naming those that are not."""
+    rows = zone_inventory(spark, zones, {CURATED: CURATED_DATASETS}).collect()
+    missing = [r["dataset"] for r in rows if r["n_rows"] is None]
+    if missing:
+        raise FileNotFoundError(f"{zones.path(CURATED)} lacks {missing}")

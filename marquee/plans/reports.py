@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,15 @@ from marquee.functions import labels
 from marquee.functions.columns import scale_measure
 from marquee.functions.predicates import at_least, equals, non_empty, not_null
 from marquee.operators.aggregates import decade_stats
-from marquee.operators.ranking import label_pos_rel, top_k, top_k_per_category, with_pos
+from marquee.operators.ranking import (
+    label_pos_rel,
+    top_k,
+    top_k_in_lanes,
+    top_k_per_category,
+    with_pos,
+)
+from marquee.plans.checks import require_curated
+from marquee.plans.curation import together
 from marquee.sources.datasets import read_dataset
 from marquee.zones import CURATED, Zones
 
@@ -23,6 +31,7 @@ MOVIES_SAMPLED = 1000
 TALENT_SHOWN = 15
 TALENT_SAMPLED = 100
 MIN_TITLES = 3
+FIRST_DECADE, LAST_DECADE = 1900, 2020
 
 
 def _by_volume() -> list[Column]:
@@ -89,7 +98,7 @@ def top_movies(popularity: DataFrame, k: int = MOVIES_SHOWN) -> DataFrame:
         F.desc_nulls_last("popularity_score"),
         "tconst",
     )
-    return label_pos_rel(frame, "popularity_score", 0.01).select(
+    return label_pos_rel(frame, "popularity_score", 0.01, k, "pos").select(
         "pos",
         labels.truncate_label("primaryTitle", 50).alias("title"),
         "popularity_score",
@@ -100,7 +109,7 @@ def top_movies(popularity: DataFrame, k: int = MOVIES_SHOWN) -> DataFrame:
 
 def movie_scatter(popularity: DataFrame, k: int = MOVIES_SAMPLED) -> DataFrame:
     """Points: rating against votes of the most popular movies, colour by popularity."""
-    return top_k(
+    return top_k_in_lanes(
         popularity.where(equals("titleType", "movie")).select(
             "tconst", "averageRating", "numVotes", "popularity_score"
         ),
@@ -110,11 +119,17 @@ def movie_scatter(popularity: DataFrame, k: int = MOVIES_SAMPLED) -> DataFrame:
     )
 
 
-def decade_lines(by_decade: DataFrame, first: int = 1900, last: int = 2020) -> DataFrame:
+def decades_between(first: int, last: int) -> int:
+    """How many decades there are from ``first`` to ``last``."""
+    return (last - first) // 10 + 1
+
+
+def decade_lines(
+    by_decade: DataFrame, first: int = FIRST_DECADE, last: int = LAST_DECADE
+) -> DataFrame:
     """Lines: movies, rating, votes and runtime per decade; ``tick`` marks every second decade."""
     stats = decade_stats(by_decade, first=first, last=last)
-    bound = (last - first) // 10 + 1
-    frame = with_pos(stats, bound, "decade")
+    frame = with_pos(stats, decades_between(first, last), "decade")
     return frame.withColumn("tick", F.col("pos") % 2 == 0)
 
 
@@ -192,3 +207,22 @@ def build_reports(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
         panel: make(read_dataset(spark, zones, CURATED, dataset))
         for panel, (dataset, make) in PANELS.items()
     }
+
+
+def write_reports(spark: SparkSession, zones: Zones, output: str) -> list[str]:
+    """Write every panel below ``output`` and give the folders. Without the curated datasets nothing is
+    written. The panels are independent jobs: all run, then the first that failed is named."""
+    require_curated(spark, zones)
+    folders = {panel: f"{output.rstrip('/')}/{panel}" for panel in PANELS}
+
+    def write(panel: str, frame: DataFrame) -> Callable[[], None]:
+        def run() -> None:
+            try:
+                frame.write.mode("overwrite").parquet(folders[panel])
+            except Exception as error:
+                raise RuntimeError(f"panel {panel} was not written") from error
+
+        return run
+
+    together(spark, *(write(*item) for item in build_reports(spark, zones).items()))
+    return list(folders.values())

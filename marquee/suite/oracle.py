@@ -130,6 +130,17 @@ FROM (VALUES {values}) c(profession) LEFT JOIN (
 ) b ON b.profession = c.profession AND b.pos < {k}"""
 
 
+RAW_ROWS = """SELECT 'title_basics' AS dataset, count(*) AS n_rows FROM titles
+  UNION ALL SELECT 'title_ratings', count(*) FROM ratings
+  UNION ALL SELECT 'name_basics', count(*) FROM names"""
+CURATED_ROWS = """SELECT 'title_with_ratings_nopartition' AS dataset, count(*) AS n_rows,
+    CAST(sum(numVotes) AS BIGINT) AS total FROM rated
+  UNION ALL SELECT 'title_by_genre', count(*), CAST(sum(numVotes) AS BIGINT) FROM by_genre
+  UNION ALL SELECT 'genre_stats', count(*), CAST(sum(title_count) AS BIGINT) FROM stats
+  UNION ALL SELECT 'title_popularity', count(*),
+    CAST(sum(CAST(round(popularity_score * 10) AS BIGINT)) AS BIGINT) FROM rated
+  UNION ALL SELECT 'person_rating_summary', count(*), CAST(sum(title_count) AS BIGINT) FROM people
+  UNION ALL SELECT 'title_by_decade', count(*), CAST(sum(decade) AS BIGINT) FROM rated"""
 PROFESSIONS = ("actor", "actress", "director", "writer", "producer")
 BY_VOLUME = "title_count DESC NULLS LAST, genre"
 
@@ -152,16 +163,15 @@ SELECT TRY_CAST(num AS INTEGER) AS num, rpad(name, 100, ' ') AS name, rpad(city,
 SELECT 'title_basics' AS dataset, count(*) AS n_rows FROM titles
 UNION ALL SELECT 'title_ratings', count(*) FROM ratings
 UNION ALL SELECT 'name_basics', count(*) FROM names""",
-    "check_landing": """
-SELECT dataset, n_rows >= 0 AS present, CAST(count(*) OVER () AS BIGINT) AS n_tsv, count(*) OVER () >= 3 AS ok
-FROM (SELECT 'title_basics' AS dataset, count(*) AS n_rows FROM titles
-  UNION ALL SELECT 'title_ratings', count(*) FROM ratings
-  UNION ALL SELECT 'name_basics', count(*) FROM names) d""",
-    "check_zone_inventory": """
-SELECT 'raw' AS zone, dataset, n_rows >= 0 AS has_files, n_rows, count(*) OVER () >= 3 AS ok
-FROM (SELECT 'title_basics' AS dataset, count(*) AS n_rows FROM titles
-  UNION ALL SELECT 'title_ratings', count(*) FROM ratings
-  UNION ALL SELECT 'name_basics', count(*) FROM names) d""",
+    "check_landing": f"""
+SELECT dataset, true AS present, CAST(3 AS BIGINT) AS n_tsv, true AS ok, n_rows AS n_lines FROM ({RAW_ROWS}) d""",
+    "check_landing_incomplete": f"""
+SELECT dataset, true AS present, CAST(3 AS BIGINT) AS n_tsv, false AS ok, n_rows AS n_lines FROM ({RAW_ROWS}) d
+UNION ALL SELECT 'title_crew', false, 3, false, NULL""",
+    "curated_run": CURATED_ROWS,
+    "check_zone_inventory": f"""
+SELECT 'raw' AS zone, dataset, true AS has_files, n_rows, true AS ok FROM ({RAW_ROWS}) d
+UNION ALL SELECT 'curated', dataset, true, n_rows, true FROM ({CURATED_ROWS}) d""",
     "cast_int": "SELECT tconst, startYear, endYear, runtimeMinutes FROM titles",
     "cast_double": "SELECT tconst, averageRating FROM ratings",
     "cast_long": "SELECT tconst, numVotes FROM ratings",
@@ -191,7 +201,7 @@ SELECT genre, CAST(title_count + 100 AS BIGINT) AS count_x, round(avg_rating + 0
 SELECT tconst, round(popularity_score, 6) AS popularity_score,
   round(popularity_score + max(popularity_score) OVER () * 0.01, 6) AS label_x
 FROM ranked_movies WHERE pos < 20""",
-    "rank_position": "SELECT tconst, popularity_score, pos FROM ranked_movies WHERE pos < 100",
+    "rank_position": "SELECT tconst, popularity_score, pos FROM ranked_movies WHERE pos < 1000",
     "every_second": """
 SELECT * FROM (SELECT decade, movie_count,
   CAST(row_number() OVER (ORDER BY decade) - 1 AS BIGINT) AS pos FROM decades) d WHERE pos % 2 = 0""",

@@ -97,7 +97,10 @@ def by_decade(spark, sf):
 
 def decades(spark, sf):
     return rounded(
-        aggregates.decade_stats(by_decade(spark, sf)), "avg_rating", "avg_votes", "avg_runtime"
+        aggregates.decade_stats(by_decade(spark, sf), year="startYear"),
+        "avg_rating",
+        "avg_votes",
+        "avg_runtime",
     )
 
 
@@ -197,13 +200,42 @@ def catalog_databases(spark, sf):
 
 @query
 def check_landing(spark, sf):
-    return checks.check_landing(spark, Stage.of(spark, sf).land())
+    return checks.check_landing(spark, Stage.of(spark, sf).land(), lines=True)
+
+
+@query
+def check_landing_incomplete(spark, sf):
+    """A zone that lacks one of the files that are asked for."""
+    wanted = {name: spec.file for name, spec in LANDING_FILES.items()} | {"title_crew": "title.crew.tsv"}
+    return checks.check_landing(spark, Stage.of(spark, sf).land(), wanted, lines=True)
+
+
+@query
+def curated_run(spark, sf):
+    """What a whole run has stored in the curated zone: rows and the sum of one measure per dataset."""
+    zones = Stage.of(spark, sf).curated_run()
+    measures = {
+        "title_with_ratings_nopartition": F.sum("numVotes"),
+        "title_by_genre": F.sum("numVotes"),
+        "genre_stats": F.sum("title_count"),
+        # Ratings have one decimal, so tenths add up exactly.
+        "title_popularity": F.sum(F.round(F.col("popularity_score") * 10).cast("bigint")),
+        "person_rating_summary": F.sum("title_count"),
+        "title_by_decade": F.sum("decade"),
+    }
+    rows = None
+    for name, measure in measures.items():
+        one = read_dataset(spark, zones, CURATED, name).agg(
+            F.count("*").alias("n_rows"), measure.alias("total")
+        )
+        one = one.select(F.lit(name).alias("dataset"), "n_rows", "total")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 @query
 def check_zone_inventory(spark, sf):
-    zones = Stage.of(spark, sf).raw_zone()
-    found = checks.zone_inventory(spark, zones, {RAW: tuple(LANDING_FILES)})
+    found = checks.zone_inventory(spark, Stage.of(spark, sf).curated_run())
     # The number of files depends on the cluster.
     return found.withColumn("n_files", F.col("n_files") > 0).withColumnRenamed("n_files", "has_files")
 
@@ -323,20 +355,23 @@ def label_offset_const(spark, sf):
 
 @query
 def label_offset_rel(spark, sf):
-    top = ranking.top_k(movies(spark, sf), "popularity_score", 20, "tconst")
-    df = ranking.label_pos_rel(top.select("tconst", "popularity_score"), "popularity_score", 0.01)
+    order = [F.desc_nulls_last("popularity_score"), "tconst"]
+    df = movies(spark, sf).select("tconst", "popularity_score")
+    df = ranking.label_pos_rel(df, "popularity_score", 0.01, reports.MOVIES_SHOWN, *order)
     return rounded(df, "popularity_score", "label_x")
 
 
 @query
 def rank_position(spark, sf):
+    """Positions of the movies that the scatter panel shows; the bound is the panel's."""
     df = movies(spark, sf).select("tconst", "popularity_score")
-    return ranking.with_pos(df, 100, F.desc_nulls_last("popularity_score"), "tconst")
+    return ranking.with_pos(df, reports.MOVIES_SAMPLED, F.desc_nulls_last("popularity_score"), "tconst")
 
 
 @query
 def every_second(spark, sf):
-    return ranking.every_nth(decades(spark, sf).select("decade", "movie_count"), 2, 13, "decade")
+    bound = reports.decades_between(reports.FIRST_DECADE, reports.LAST_DECADE)
+    return ranking.every_nth(decades(spark, sf).select("decade", "movie_count"), 2, bound, "decade")
 
 
 # Filters -------------------------------------------------------------------------------

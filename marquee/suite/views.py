@@ -6,11 +6,13 @@ has line items, a person per customer and block of order keys. NULLs, malformed
 
 from __future__ import annotations
 
+from threading import RLock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.skew import SplitPlan, heavy_parts, split_join
-from marquee.plans.curation import rating_splits, typed
+from marquee.plans.curation import curate, rating_splits, typed
 from marquee.session import scratch_folder
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import write_tsv
@@ -121,34 +123,43 @@ class Stage:
     Spark application, when a query first asks for it, and read from there by every query."""
 
     _known: dict[tuple[str, str], Stage] = {}
+    # Two threads must not write one folder.
+    _lock = RLock()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.zones = Zones(scratch_folder(spark, "catalogue"))
         self._written: set[tuple[str, str]] = set()
         self._splits: SplitPlan | None = None
+        self._run: Zones | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Stage:
         key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in cls._known:
-            cls._known[key] = cls(spark, sf_dir)
-        return cls._known[key]
+        with cls._lock:
+            if key not in cls._known:
+                cls._known[key] = cls(spark, sf_dir)
+            return cls._known[key]
 
     def land(self, *names: str) -> Zones:
         """The zones with these landing files in place (all of them by default)."""
-        for name in names or LANDING_FILES:
-            if (LANDING, name) not in self._written:
-                path = self.zones.path(LANDING, LANDING_FILES[name].file)
-                write_tsv(LANDING_VIEWS[name](self.spark, self.sf_dir), path, "overwrite")
-                self._written.add((LANDING, name))
+        with self._lock:
+            for name in names or LANDING_FILES:
+                if (LANDING, name) not in self._written:
+                    self._land(self.zones, name)
+                    self._written.add((LANDING, name))
         return self.zones
 
+    def _land(self, zones: Zones, name: str) -> None:
+        path = zones.path(LANDING, LANDING_FILES[name].file)
+        write_tsv(LANDING_VIEWS[name](self.spark, self.sf_dir), path, "overwrite")
+
     def raw(self, name: str) -> DataFrame:
-        if (RAW, name) not in self._written:
-            view = LANDING_VIEWS[name](self.spark, self.sf_dir)
-            write_dataset(typed(view, name), self.zones, RAW, name)
-            self._written.add((RAW, name))
+        with self._lock:
+            if (RAW, name) not in self._written:
+                view = LANDING_VIEWS[name](self.spark, self.sf_dir)
+                write_dataset(typed(view, name), self.zones, RAW, name)
+                self._written.add((RAW, name))
         return read_dataset(self.spark, self.zones, RAW, name)
 
     def raw_zone(self) -> Zones:
@@ -157,6 +168,17 @@ class Stage:
             self.raw(name)
         return self.zones
 
+    def curated_run(self) -> Zones:
+        """The zones that a whole run from landing files has filled, apart from the others."""
+        with self._lock:
+            if self._run is None:
+                run = Zones(scratch_folder(self.spark, "run"))
+                for name in LANDING_FILES:
+                    self._land(run, name)
+                curate(self.spark, run)
+                self._run = run
+        return self._run
+
     def splits(self) -> SplitPlan:
         """How to split the joins with the ratings."""
         if self._splits is None:

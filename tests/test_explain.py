@@ -40,6 +40,16 @@ def test_decade_filters_reach_the_scan(by_decade):
     assert "primaryTitle" not in read and "genres" not in read
 
 
+def test_year_range_reaches_the_scan_where_the_decade_is_computed(spark):
+    plan = explain(QUERIES["decade_stats"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(startYear,1900)" in plan and "LessThanOrEqual(startYear,2029)" in plan
+
+
+def test_large_top_k_merges_a_bounded_number_of_rows(spark):
+    plan = explain(reports.movie_scatter(curation.title_popularity(rated(spark, SF_DIR))))
+    assert plan.count("WindowGroupLimit") >= 2 and "TakeOrderedAndProject" in plan
+
+
 def test_genre_stats_reads_only_its_columns_and_aggregates_before_the_shuffle(spark):
     plan = explain(curation.genre_stats(rated(spark, SF_DIR)))
     reads = [line for line in plan.splitlines() if line.startswith("ReadSchema")]

@@ -1,6 +1,7 @@
 """The whole run on awkward landing files, the reports on it, and the zone checks."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from marquee import Zones, jobs
@@ -186,7 +187,10 @@ def test_checks(spark, zones, tmp_path):
     assert {(r["dataset"], r["present"], r["n_tsv"], r["ok"]) for r in landing} == {
         (name, True, 3, True) for name in LANDING_FILES
     }
+    counted = {r["dataset"]: r["n_lines"] for r in checks.check_landing(spark, zones, lines=True).collect()}
+    assert counted == {"title_basics": 7, "title_ratings": 5, "name_basics": 5}
     checks.require_landing(spark, zones)
+    checks.require_curated(spark, zones)
     inventory = checks.zone_inventory(spark, zones).collect()
     assert len(inventory) == 9 and all(r["ok"] and r["n_files"] > 0 for r in inventory)
     assert {r["dataset"]: r["n_rows"] for r in inventory}["title_by_genre"] == 8
@@ -212,13 +216,40 @@ def test_checks_of_incomplete_zones(spark, tmp_path):
     found = {r["dataset"]: r for r in checks.zone_inventory(spark, zones).collect()}
     assert found["title_basics"]["n_rows"] == 1 and not found["title_basics"]["ok"]
     assert found["title_ratings"]["n_rows"] is None
+    with pytest.raises(FileNotFoundError, match="genre_stats"):
+        reports.write_reports(spark, zones, str(tmp_path / "reports"))
+    assert not (tmp_path / "reports").exists()
+    (tmp_path / "raw" / "films" / "name_basics").mkdir()
+    with pytest.raises(AnalysisException):
+        checks.zone_inventory(spark, zones)
 
 
-def test_applications(spark, zones, tmp_path, monkeypatch):
+def test_a_panel_that_fails_is_named_and_the_others_are_written(spark, zones, tmp_path, monkeypatch):
+    def broken(stats):
+        return stats.select(F.raise_error(F.lit("broken")).alias("x"))
+
+    monkeypatch.setitem(reports.PANELS, "genre_volume", ("genre_stats", broken))
+    with pytest.raises(RuntimeError, match="genre_volume"):
+        reports.write_reports(spark, zones, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "talent")).count() == 5
+
+
+def test_types_are_apart_in_the_files_of_the_reports(spark, zones):
+    for name in ("title_by_decade", "title_popularity"):
+        df = read_dataset(spark, zones, CURATED, name)
+        at = df.select("_metadata.file_path", "_metadata.row_index", "titleType").collect()
+        for file in {r["file_path"] for r in at}:
+            own = [r["titleType"] for r in sorted(at, key=lambda r: r["row_index"]) if r["file_path"] == file]
+            assert own == sorted(own)
+
+
+def test_applications(spark, zones, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(jobs, "build_session", lambda app: spark)
     jobs.main(["check", "--root", zones.root])
     jobs.main(["curate", "--root", zones.root])
+    assert capsys.readouterr().out.rstrip().endswith("\ncomplete")
     jobs.main(["report", "--root", zones.root, "--output", str(tmp_path / "reports")])
+    assert len(capsys.readouterr().out.split()) == 9
     assert spark.read.parquet(str(tmp_path / "reports" / "talent")).count() == 5
     with pytest.raises(SystemExit):
         jobs.main(["report", "--root", zones.root])

@@ -20,6 +20,8 @@ def test_sorts_and_top_k(spark):
     df = frame(spark)
     assert keys(ranking.sort_desc(df, "v", "k")) == "bdafce"
     assert keys(ranking.top_k(df, "v", 3, "k")) == "bda"
+    for k in (1, 3, 9):
+        assert keys(ranking.top_k_in_lanes(df, "v", k, "k", lanes=2)) == "bdafce"[:k]
     assert keys(ranking.n_largest(df, "v", 3, "k")) == "bda"
     assert keys(ranking.n_largest(df, "v", 5, "k")) == "bdafc"
     assert keys(ranking.n_largest(df, "v", 9, F.desc("k"))) == "dbafec"
@@ -34,7 +36,7 @@ def test_positions(spark):
 
 
 def test_relative_label_position(spark):
-    got = ranking.label_pos_rel(ranking.top_k(frame(spark), "v", 3, "k"), "v", 0.5)
+    got = ranking.label_pos_rel(frame(spark), "v", 0.5, 3, F.desc_nulls_last("v"), "k")
     assert {(r["k"], r["label_x"]) for r in got.collect()} == {("b", 3.0), ("d", 3.0), ("a", 2.0)}
 
 
