@@ -27,6 +27,11 @@ BUDGET_PERCENT = 150
 ROUNDS = 2
 
 
+def _size() -> Column:
+    """The number of words of a text."""
+    return F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """Identifier, source, number of words and place in the shuffle. ``spot`` is the leading part of
     the order as a number from 0 to 2^32."""
@@ -34,7 +39,7 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
         F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+        _size().alias("size"),
         order.alias("order"),
         F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint").alias("spot"),
     )
@@ -224,17 +229,22 @@ FROM p LEFT JOIN k ON p.doc_id = k.doc_id AND p.rank = k.rank
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, as often as it takes them, in the order of the queue."""
+    """The documents that the mix takes, as often as it takes them, in the order of the queue. Rows that
+    repeat an identifier are matched with their places in the queue one by one, by source and size."""
     work = Work(spark, "mixing-stage")
-    # Rows that agree in identifier and source take the same from one row on average.
-    found = queue(docs, work).where(F.col("taken") > 0).select(
+    same = Window.partitionBy("doc_id")
+    found = queue(docs, work).withColumn(
+        "copy", F.row_number().over(same.orderBy("rank", "size", "first_finish"))
+    ).where(F.col("taken") > 0).select(
         F.col("doc_id").alias("__doc"),
-        "rank",
+        F.col("copy").alias("__copy"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("taken") / F.col("size")).cast("bigint") - 1)).alias("n"),
         F.col("first_finish"),
         (F.col("source_size") / F.col("target")).alias("step"),
-    ).select("__doc", (F.col("first_finish") + F.col("n") * F.col("step")).alias("__finish"))
-    once = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__doc")))
+    ).select("__doc", "__copy", (F.col("first_finish") + F.col("n") * F.col("step")).alias("__finish"))
+    order = (F.asc_nulls_last(F.col("source").cast("string")), _size(), F.xxhash64("text"))
+    given = docs.withColumn("__own", F.row_number().over(same.orderBy(*order)))
+    once = given.join(found, given["doc_id"].eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__copy")))
     return once.repartitionByRange("__finish", "doc_id").sortWithinPartitions("__finish", "doc_id").select(
-        *(docs[c] for c in docs.columns)
+        *(given[c] for c in docs.columns)
     )

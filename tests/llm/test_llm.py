@@ -109,6 +109,14 @@ def test_mixing_reaches_targets(spark, docs, empty):
     assert mixing.queue(docs, Work(spark, "t")).count() == docs.count()
     assert mixing.queue(empty, Work(spark, "t")).count() == 0
     assert mixing.stage_mixing(spark, many, "").count() == sum(r["taken"] // r["size"] for r in got)
+    # Rows that repeat an identifier, with and without other text and source, are taken one by one.
+    again = many.unionByName(many.where("doc_id < 400")).unionByName(
+        many.where("doc_id < 100").withColumns({"text": F.lit("other words"), "source": F.lit("b")})
+    )
+    want = sum(r["taken"] for r in mixing.queue(again, Work(spark, "t")).collect())
+    taken = mixing.stage_mixing(spark, again, "")
+    assert taken.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == want
+    assert taken.groupBy("doc_id", "text", "source").count().agg(F.max("count")).first()[0] <= 4
 
 
 def test_secret_spans_and_the_ledger(spark, docs, texts, empty):
