@@ -230,21 +230,40 @@ FROM p LEFT JOIN k ON p.doc_id = k.doc_id AND p.rank = k.rank
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, as often as it takes them, in the order of the queue. Rows that
-    repeat an identifier are matched with their places in the queue one by one, by source and size."""
+    repeat an identifier are matched with their places in the queue one by one, by source and size; for
+    that only their texts are dealt out once more."""
     work = Work(spark, "mixing-stage")
-    same = Window.partitionBy("doc_id")
-    found = queue(docs, work).withColumn(
-        "copy", F.row_number().over(same.orderBy("rank", "size", "first_finish"))
-    ).where(F.col("taken") > 0).select(
-        F.col("doc_id").alias("__doc"),
-        F.col("copy").alias("__copy"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("taken") / F.col("size")).cast("bigint") - 1)).alias("n"),
-        F.col("first_finish"),
-        (F.col("source_size") / F.col("target")).alias("step"),
-    ).select("__doc", "__copy", (F.col("first_finish") + F.col("n") * F.col("step")).alias("__finish"))
-    order = (F.asc_nulls_last(F.col("source").cast("string")), _size(), F.xxhash64("text"))
-    given = docs.withColumn("__own", F.row_number().over(same.orderBy(*order)))
-    once = given.join(found, given["doc_id"].eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__copy")))
-    return once.repartitionByRange("__finish", "doc_id").sortWithinPartitions("__finish", "doc_id").select(
-        *(given[c] for c in docs.columns)
-    )
+    mix = work.stored(queue(docs, work), "mix")
+    repeated = work.stored(
+        mix.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+        .select(F.col("doc_id").alias("__doc")),
+        "repeated",
+    )
+
+    def entries(rows: DataFrame, *keep: Column) -> DataFrame:
+        """One row per time that the mix takes a row."""
+        rounds = F.sequence(F.lit(0).cast("bigint"), (F.col("taken") / F.col("size")).cast("bigint") - 1)
+        step = F.col("source_size") / F.col("target")
+        return (
+            rows.where(F.col("taken") > 0)
+            .select(F.col("doc_id").alias("__doc"), *keep, F.explode(rounds).alias("n"), "first_finish", step.alias("step"))
+            .select("__doc", *keep, (F.col("first_finish") + F.col("n") * F.col("step")).alias("__finish"))
+        )
+
+    columns = [docs[c] for c in docs.columns]
+    again = mix["doc_id"].eqNullSafe(repeated["__doc"])
+    single = entries(mix.join(repeated, again, "left_anti"))
+    out = docs.join(single, docs["doc_id"] == F.col("__doc")).select(*columns, "__finish")
+    if not repeated.isEmpty():
+        same = Window.partitionBy("doc_id")
+        places = mix.join(repeated, again, "left_semi").withColumn(
+            "__copy", F.row_number().over(same.orderBy("rank", "size", "first_finish"))
+        )
+        found = entries(places, F.col("__copy"))
+        order = (F.asc_nulls_last(F.col("source").cast("string")), _size(), F.xxhash64("text"))
+        given = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["__doc"]), "left_semi").withColumn(
+            "__own", F.row_number().over(same.orderBy(*order))
+        )
+        met = given["doc_id"].eqNullSafe(found["__doc"]) & (F.col("__own") == F.col("__copy"))
+        out = out.unionByName(given.join(found, met).select(*(given[c] for c in docs.columns), "__finish"))
+    return out.repartitionByRange("__finish", "doc_id").sortWithinPartitions("__finish", "doc_id").drop("__finish")
