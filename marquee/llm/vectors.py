@@ -3,7 +3,9 @@
 A bounded sample gives coarse centroids and, for what is left after taking the nearest centroid off, codebooks
 of the subspaces. Every vector is indexed: it lies in the list of its nearest centroid and carries its codes. It
 also asks the lists of its nearest ``PROBES`` centroids. Within a list a query's distances to the codes come from
-tables of its distances to the codebook entries; what these leave is compared by exact cosine in double precision.
+tables of its distances to the codebook entries. A code carries how far it lies from its vector, which bounds
+the cosine from above; what may reach the threshold is compared by exact cosine in double precision, so that
+the codes lose no link.
 Lists hold vectors of one label only. Long lists are compared in blocks of bounded size.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite components, and those without a label,
@@ -33,8 +35,10 @@ PROBES = 16
 SUBSPACES = 16
 CODES = 128
 BLOCK = 128
-# By how much the coded cosine may fall short of the threshold before the exact one is taken.
-SLACK = 0.12
+# Pairs whose exact cosines are taken at once.
+PAIRS = 4096
+# Above what rounding takes off the bound of a cosine.
+ROUNDING = 1e-9
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -67,9 +71,13 @@ class Index:
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return np.array_split(x, len(self.books), axis=1)
 
-    def codes(self, x: np.ndarray, lists: np.ndarray) -> np.ndarray:
-        rest = x - self.centres[lists]
-        return np.stack([nearest(p, b, 1)[:, 0] for p, b in zip(self.parts(rest), self.books)], 1).astype(np.uint8)
+    def codes(self, x: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes, and the distances of the vectors from what the codes stand for."""
+        codes, off = [], np.zeros(len(x))
+        for part, book in zip(self.parts(x - self.centres[lists]), self.books):
+            codes.append(nearest(part, book, 1)[:, 0])
+            off += ((part - book[codes[-1]]) ** 2).sum(1)
+        return np.stack(codes, 1).astype(np.uint8), np.sqrt(off)
 
     def coded_cosines(self, queries: np.ndarray, codes: np.ndarray, which: int) -> np.ndarray:
         """Cosines of unit queries with the coded vectors of a list, by table lookup."""
@@ -115,15 +123,16 @@ def index_rows(classes: DataFrame, index: dict[int, Index]) -> DataFrame:
                     own = Index(np.zeros((1, length)), [np.zeros((1, p)) for p in [length]])
                 x = units(np.stack(some["vector"]).astype(np.float64))
                 probes = nearest(x, own.centres, PROBES)
-                codes = own.codes(x, probes[:, 0])
+                codes, off = own.codes(x, probes[:, 0])
                 base = some.assign(length=length)
-                yield base.assign(list=probes[:, 0], asks=False, code=[c.tobytes() for c in codes])
+                yield base.assign(list=probes[:, 0], asks=False, code=[c.tobytes() for c in codes], off=off)
                 for n in range(probes.shape[1]):
-                    yield base.assign(list=probes[:, n], asks=True, code=b"")
+                    yield base.assign(list=probes[:, n], asks=True, code=b"", off=0.0)
 
     return classes.select("rep", "label", "vector", "copies").mapInPandas(
         batches,
-        "rep long, label int, vector array<double>, copies long, length int, list int, asks boolean, code binary",
+        "rep long, label int, vector array<double>, copies long, length int, list int, asks boolean, code binary, "
+        "off double",
     )
 
 
@@ -141,7 +150,7 @@ def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -
     i, j = F.pmod(block, F.col("m")).cast("int"), F.pmod(block, F.col("k")).cast("int")
     every = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.sequence(F.lit(0), F.col("m") - 1))
     spread = sized.withColumn("other", F.explode(every)).select(
-        *key, "rep", "vector", "copies", "asks", "code",
+        *key, "rep", "vector", "copies", "asks", "code", "off",
         F.when(F.col("asks"), i).otherwise(F.col("other")).alias("i"),
         F.when(F.col("asks"), F.col("other")).otherwise(j).alias("j"),
     )
@@ -158,9 +167,14 @@ def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -
         own = spec.value.get(int(block["length"].iloc[0]))
         if own is not None:
             codes = np.stack([np.frombuffer(c, np.uint8) for c in held["code"]])
-            near &= own.coded_cosines(units(a), codes, int(block["list"].iloc[0])) >= least - SLACK
+            coded = own.coded_cosines(units(a), codes, int(block["list"].iloc[0]))
+            near &= coded + held["off"].to_numpy() >= least - ROUNDING
         p, q = np.nonzero(near)
-        exact = (a[p] * b[q]).sum(1) / np.sqrt((a[p] ** 2).sum(1) * (b[q] ** 2).sum(1))
+        squares, others_squares = (a**2).sum(1), (b**2).sum(1)
+        exact = np.zeros(len(p))
+        for at in range(0, len(p), PAIRS):
+            i, j = p[at : at + PAIRS], q[at : at + PAIRS]
+            exact[at : at + PAIRS] = (a[i] * b[j]).sum(1) / np.sqrt(squares[i] * others_squares[j])
         p, q = p[exact >= least], q[exact >= least]
         if not len(p):
             return none

@@ -1,6 +1,7 @@
 """The operators on small tables with awkward rows, against plain versions of what they compute."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -246,6 +247,27 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0), Work(spark, "t")).count() == 0
 
 
+def near_pairs(seed, pairs, size, cosine):
+    """Unit vectors without structure, each with one at the given cosine, with odd identifiers."""
+    np = vectors.np
+    rng = np.random.default_rng(seed)
+    base = vectors.units(rng.normal(size=(pairs, size)))
+    off = rng.normal(size=base.shape)
+    off = vectors.units(off - (off * base).sum(1)[:, None] * base)
+    return np.stack([base, cosine * base + math.sqrt(1 - cosine**2) * off], 1).reshape(-1, size)
+
+
+def test_vectors_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE_ROWS", 200)
+    monkeypatch.setattr(vectors, "MOST_LISTS", vectors.PROBES)  # all lists are probed, so only the codes can lose a link
+    x = near_pairs(5, 800, 64, 0.935)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = by_id(vectors.near_vectors(df, Work(spark, "t")), "vec_id")
+    near = x @ x.T >= 0.93
+    assert [got[i]["n_links"] for i in range(len(x))] == (near.sum(1) - 1).tolist()
+    assert all(got[i]["component_id"] == i - i % 2 for i in range(len(x)))
+
+
 def test_lm_scores(spark, docs, texts, empty):
     got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=2))
     corpus = [WORD.findall(t or "") for t in [*texts, "no identifier"]]
