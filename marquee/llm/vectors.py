@@ -111,7 +111,8 @@ def fit(classes: DataFrame, rows: int) -> dict[int, Index]:
 
 
 def index_rows(classes: DataFrame, index: dict[int, Index]) -> DataFrame:
-    """A row in its own list (``asks`` false, with ``code``) and one per probed list for each class."""
+    """A row in its own list (``asks`` false, with ``code`` and all that it ``probes``) and one per probed
+    list for each class (with only its own list as ``probes``)."""
     spec = classes.sparkSession.sparkContext.broadcast(index)
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,20 +126,24 @@ def index_rows(classes: DataFrame, index: dict[int, Index]) -> DataFrame:
                 probes = nearest(x, own.centres, PROBES)
                 codes, off = own.codes(x, probes[:, 0])
                 base = some.assign(length=length)
-                yield base.assign(list=probes[:, 0], asks=False, code=[c.tobytes() for c in codes], off=off)
+                yield base.assign(
+                    list=probes[:, 0], asks=False, code=[c.tobytes() for c in codes], off=off, probes=list(probes)
+                )
+                home = list(probes[:, :1])
                 for n in range(probes.shape[1]):
-                    yield base.assign(list=probes[:, n], asks=True, code=b"", off=0.0)
+                    yield base.assign(list=probes[:, n], asks=True, code=b"", off=0.0, probes=home)
 
     return classes.select("rep", "label", "vector", "copies").mapInPandas(
         batches,
         "rep long, label int, vector array<double>, copies long, length int, list int, asks boolean, code binary, "
-        "off double",
+        "off double, probes array<int>",
     )
 
 
 def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -> DataFrame:
     """``rep`` and the links that it has in one block, ``n``, and ``node``, the least class of
-    its connected part of the block. Each pair of vectors meets in one block as query and entry."""
+    its connected part of the block. Each pair of vectors meets in one block as query and entry.
+    A link that either end finds counts for both."""
     spec = rows.sparkSession.sparkContext.broadcast(index)
     key = ["label", "length", "list"]
     sizes = rows.groupBy(*key).agg(
@@ -150,7 +155,7 @@ def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -
     i, j = F.pmod(block, F.col("m")).cast("int"), F.pmod(block, F.col("k")).cast("int")
     every = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.sequence(F.lit(0), F.col("m") - 1))
     spread = sized.withColumn("other", F.explode(every)).select(
-        *key, "rep", "vector", "copies", "asks", "code", "off",
+        *key, "rep", "vector", "copies", "asks", "code", "off", "probes",
         F.when(F.col("asks"), i).otherwise(F.col("other")).alias("i"),
         F.when(F.col("asks"), F.col("other")).otherwise(j).alias("j"),
     )
@@ -179,6 +184,12 @@ def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -
         if not len(p):
             return none
         n = np.bincount(p, held["copies"].to_numpy()[q], len(reps)).astype(np.int64)
+        # A link counts for the entry here too, unless the entry finds it as a query in the list of the other.
+        home, probed = np.stack(asks["probes"]), np.stack(held["probes"])
+        one_way = np.concatenate(
+            [(home[p[at : at + PAIRS]] != probed[q[at : at + PAIRS]]).all(1) for at in range(0, len(p), PAIRS)]
+        )
+        m = np.bincount(q[one_way], asks["copies"].to_numpy()[p[one_way]], len(others)).astype(np.int64)
         left, right = reps.copy(), others.copy()
         while True:
             low = np.minimum(left[p], right[q])
@@ -191,7 +202,7 @@ def linked(rows: DataFrame, index: dict[int, Index], least: float, work: Work) -
         return pd.DataFrame(
             {
                 "rep": np.concatenate([reps, others[hit]]),
-                "n": np.concatenate([n, np.zeros(len(hit), np.int64)]),
+                "n": np.concatenate([n, m[hit]]),
                 "node": np.concatenate([left, right[hit]]),
             }
         )

@@ -268,6 +268,17 @@ def test_vectors_outside_the_sample(spark, monkeypatch):
     assert all(got[i]["component_id"] == i - i % 2 for i in range(len(x)))
 
 
+def test_vector_links_count_for_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PROBES", 2)  # so few that many links are found from one end only
+    x = near_pairs(6, 800, 16, 0.935)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = by_id(vectors.near_vectors(df, Work(spark, "t")), "vec_id")
+    assert ((x @ x.T >= 0.93).sum(1) == 2).all()
+    found = [(got[i]["n_links"], got[i + 1]["n_links"]) for i in range(0, len(x), 2)]
+    assert set(found) <= {(0, 0), (1, 1)} and (1, 1) in found
+    assert all((got[i + 1]["component_id"] == i) == (found[i // 2] == (1, 1)) for i in range(0, len(x), 2))
+
+
 def test_lm_scores(spark, docs, texts, empty):
     got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=2))
     corpus = [WORD.findall(t or "") for t in [*texts, "no identifier"]]
