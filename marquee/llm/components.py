@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import Work
 
+MOST_ROUNDS = 99
+
 
 def _star(edges: DataFrame, work: Work, name: str, large: bool) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -33,12 +35,12 @@ def components(edges: DataFrame, work: Work, name: str = "components") -> DataFr
     least ones themselves."""
     edges = work.stored(edges.where(F.col("a") != F.col("b")).distinct(), f"{name}-0")
     before = None
-    for n in range(1, 100):
+    for n in range(1, MOST_ROUNDS + 1):
         edges = _star(edges, work, f"{name}-{n}-large", True)
         edges = _star(edges, work, f"{name}-{n}-small", False)
         # Two numbers that are the same only if the edges are.
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    raise RuntimeError(f"the components {name!r} are unfinished after {MOST_ROUNDS} rounds")

@@ -8,7 +8,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, exact, lm_scoring, mixing, near_dedup, quality, secret_scan, substring, toxicity, vectors
+from marquee.llm import (
+    bpe, components, exact, lm_scoring, mixing, near_dedup, quality, secret_scan, substring, toxicity, vectors,
+)
 from marquee.llm.common import Work
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, n long, ids string"
@@ -279,6 +281,14 @@ def test_vector_links_count_for_both_ends(spark, monkeypatch):
     assert all((got[i + 1]["component_id"] == i) == (found[i // 2] == (1, 1)) for i in range(0, len(x), 2))
 
 
+def test_unfinished_components_raise(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r["component"] for r in components.components(edges, Work(spark, "t")).collect()} == {0}
+    monkeypatch.setattr(components, "MOST_ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="unfinished"):
+        components.components(edges, Work(spark, "t"))
+
+
 def test_lm_scores(spark, docs, texts, empty):
     got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=2))
     corpus = [WORD.findall(t or "") for t in [*texts, "no identifier"]]
