@@ -12,6 +12,7 @@ from marquee.llm.lm_scoring import OP2_SQL, op2_lm_scoring
 from marquee.llm.mixing import OP10_SQL, op10_mixing
 from marquee.llm.near_dedup import OP5_SQL, op5_near_dedup
 from marquee.llm.packing import op13_packing
+from marquee.llm.periodic import op11_periodic_runs
 from marquee.llm.quality import op7_quality
 from marquee.llm.secret_scan import OP4_SQL, op4_secret_scan
 from marquee.llm.substring import OP6_SQL, op6_substring_dedup
@@ -29,6 +30,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_dedup": op8_vector_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_packing": op13_packing,
 }
 
