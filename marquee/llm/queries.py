@@ -13,6 +13,7 @@ from marquee.llm.mixing import OP10_SQL, op10_mixing
 from marquee.llm.near_dedup import OP5_SQL, op5_near_dedup
 from marquee.llm.packing import op13_packing
 from marquee.llm.periodic import op11_periodic_runs
+from marquee.llm.prefix_trie import op12_prefix_trie
 from marquee.llm.quality import op7_quality
 from marquee.llm.secret_scan import OP4_SQL, op4_secret_scan
 from marquee.llm.substring import OP6_SQL, op6_substring_dedup
@@ -31,6 +32,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_packing": op13_packing,
 }
 
