@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.predicates import equals, in_range
+from marquee.functions.predicates import equals, in_bucket_range, in_range
 from marquee.operators.generators import tokens
 from marquee.operators.joins import known_title_ratings
 from marquee.operators.skew import SplitPlan
@@ -52,13 +52,14 @@ def decade_stats(
     title_type: str = "movie",
     first: int = 1900,
     last: int = 2020,
-    year: str | None = None,
+    year: str = "startYear",
 ) -> DataFrame:
-    """Movies, average rating, votes and runtime per decade from ``first`` to ``last``, in order. Where the
-    decade is not stored but computed from a column, naming it as ``year`` lets its range reach the scan."""
+    """Movies, average rating, votes and runtime per decade from ``first`` to ``last``, in order. The range is also put to
+    ``year``, the column that the decades come from, if it is there: where they are computed from it and
+    not stored, only that reaches the scan."""
     kept = decades.where(equals("titleType", title_type) & in_range("decade", first, last))
-    if year:
-        kept = kept.where(in_range(year, first, last + 9))
+    if year in decades.columns:
+        kept = kept.where(in_bucket_range(year, first, last))
     return group_stats(
         kept,
         "decade",

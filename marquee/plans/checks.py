@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.plans.generations import published
 from marquee.sources.local import local_rows
 from marquee.zones import CURATED, CURATED_DATASETS, LANDING, LANDING_FILES, RAW, Zones
 
@@ -39,6 +40,18 @@ def _entries(spark: SparkSession, zones: Zones, zone: str) -> DataFrame:
     )
 
 
+def _dataset_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """``n_files`` and ``n_rows`` of a dataset, counted in the executors from the file footers; None if it is absent."""
+    try:
+        files = spark.read.parquet(path)
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
+        return None
+    per_file = files.groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
+    return per_file.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+
+
 def check_landing(
     spark: SparkSession,
     zones: Zones,
@@ -96,49 +109,29 @@ def zone_inventory(
     expected: Mapping[str, Sequence[str]] | None = None,
     minimum: Mapping[str, int] = MIN_DATASETS,
 ) -> DataFrame:
-    """One row per expected dataset: ``zone``, ``dataset``, ``n_files``, ``n_rows`` (NULL if absent) and
-    ``ok``, which holds when it is there and its zone has at least ``minimum`` datasets. A dataset that is
-    there but cannot be read is an error."""
+    """One row per expected dataset: ``zone``, ``dataset``, ``n_files`` (with rows), ``n_rows`` (NULL if absent) and
+    ``ok``, which holds when it is there and its zone has at least ``minimum`` of the expected datasets; other folders
+    do not count. A dataset that is there but cannot be read is an error. Looks at the newest generation."""
+    zones = published(spark, zones)
     expected = expected or {RAW: tuple(LANDING_FILES), CURATED: CURATED_DATASETS}
-    listing = None
+    inventory = None
     for zone, names in expected.items():
-        entries = _entries(spark, zones, zone)
-        here = entries.agg(
-            F.count("*").alias("n_entries"),
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("entry").isin(*names), F.struct("entry", "n_files")))
-            ).alias("files"),
-        ).select(
-            F.lit(zone).alias("zone"),
-            F.explode(F.array(*map(F.lit, names))).alias("dataset"),
-            "n_entries",
-            "files",
-        )
-        listing = here if listing is None else listing.unionByName(here)
-    listing = listing.withColumn("n_files", F.col("files")[F.col("dataset")])
-
-    counts = None
-    for zone, names in expected.items():
-        for name in names:
-            try:
-                rows = spark.read.parquet(zones.path(zone, name)).agg(F.count("*").alias("n_rows"))
-            except AnalysisException as error:
-                if not _absent(error):
-                    raise
-                continue
-            rows = rows.select(F.lit(zone).alias("zone"), F.lit(name).alias("dataset"), "n_rows")
-            counts = rows if counts is None else counts.unionByName(rows)
-    if counts is None:
-        counts = listing.select("zone", "dataset", F.lit(0).cast("bigint").alias("n_rows")).limit(0)
-
-    needed = F.create_map(*(F.lit(v) for item in minimum.items() for v in item))
-    return listing.join(counts, ["zone", "dataset"], "left").select(
-        "zone",
-        "dataset",
-        F.coalesce("n_files", F.lit(0).cast("bigint")).alias("n_files"),
-        "n_rows",
-        (F.col("n_rows").isNotNull() & (F.col("n_entries") >= needed[F.col("zone")])).alias("ok"),
-    )
+        counts = [_dataset_counts(spark, zones.path(zone, name)) for name in names]
+        complete = sum(c is not None for c in counts) >= minimum.get(zone, 0)
+        for name, found in zip(names, counts):
+            here = found is not None
+            rows = found if here else spark.range(1, numPartitions=1).select(
+                F.lit(0).cast("bigint").alias("n_files"), F.lit(None).cast("bigint").alias("n_rows")
+            )
+            line = rows.select(
+                F.lit(zone).alias("zone"),
+                F.lit(name).alias("dataset"),
+                "n_files",
+                "n_rows",
+                F.lit(here and complete).alias("ok"),
+            )
+            inventory = line if inventory is None else inventory.unionByName(line)
+    return inventory
 
 
 def require_curated(spark: SparkSession, zones: Zones) -> None:

@@ -20,6 +20,7 @@ from marquee.functions.columns import (
 )
 from marquee.operators import aggregates, generators, joins
 from marquee.operators.skew import SplitPlan, heavy_parts
+from marquee.plans.generations import new_generation, publish
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import read_tsv
 from marquee.zones import CURATED, LANDING, LANDING_FILES, RAW, Zones
@@ -91,7 +92,7 @@ def person_rating_summary(
 def rating_splits(ratings: DataFrame) -> SplitPlan:
     """How the two left joins with the ratings split title ids that have very many ratings.
     Ids with very many titles or people are on the left, where adaptive execution splits them."""
-    return SplitPlan({}, heavy_parts({"ratings": ratings}, "tconst")["ratings"])
+    return SplitPlan.of(heavy_parts({"right": ratings}, "tconst"))
 
 
 def raw_to_curated(spark: SparkSession, zones: Zones) -> None:
@@ -120,8 +121,11 @@ def raw_to_curated(spark: SparkSession, zones: Zones) -> None:
     )
 
 
-def curate(spark: SparkSession, zones: Zones, quote: str = "") -> None:
-    """The whole run: landing to raw to curated. If a write fails, datasets that the run has replaced
-    by then stay replaced; run it again, or into another catalogue folder, for a consistent zone."""
-    land_to_raw(spark, zones, quote)
-    raw_to_curated(spark, zones)
+def curate(spark: SparkSession, zones: Zones, quote: str = "") -> Zones:
+    """The whole run: landing to raw to curated, into a new generation that is published at the end. If a
+    write fails, readers go on with the generation before. Gives the zones of the new one."""
+    run = new_generation(zones)
+    land_to_raw(spark, run, quote)
+    raw_to_curated(spark, run)
+    publish(spark, run)
+    return run

@@ -20,6 +20,7 @@ from marquee.operators.ranking import (
 )
 from marquee.plans.checks import require_curated
 from marquee.plans.curation import together
+from marquee.plans.generations import published
 from marquee.sources.datasets import read_dataset
 from marquee.zones import CURATED, Zones
 
@@ -202,7 +203,8 @@ PANELS = {
 
 
 def build_reports(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
-    """Every panel over the curated zone, not yet run."""
+    """Every panel over the newest curated generation, not yet run."""
+    zones = published(spark, zones)
     return {
         panel: make(read_dataset(spark, zones, CURATED, dataset))
         for panel, (dataset, make) in PANELS.items()
@@ -212,6 +214,7 @@ def build_reports(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
 def write_reports(spark: SparkSession, zones: Zones, output: str) -> list[str]:
     """Write every panel below ``output`` and give the folders. Without the curated datasets nothing is
     written. The panels are independent jobs: all run, then the first that failed is named."""
+    zones = published(spark, zones)  # one generation for the check and all panels
     require_curated(spark, zones)
     folders = {panel: f"{output.rstrip('/')}/{panel}" for panel in PANELS}
 

@@ -13,6 +13,7 @@ if TYPE_CHECKING:
 
 
 def read_dataset(spark: SparkSession, zones: Zones, zone: str, name: str) -> DataFrame:
+    """A dataset below the given zones; ``plans.generations.published`` gives those of the newest run."""
     return spark.read.parquet(zones.path(zone, name))
 
 

@@ -19,6 +19,7 @@ from marquee.functions.columns import (
 from marquee.functions.predicates import (
     at_least,
     equals,
+    in_bucket_range,
     in_range,
     mentions,
     non_empty,
@@ -97,7 +98,7 @@ def by_decade(spark, sf):
 
 def decades(spark, sf):
     return rounded(
-        aggregates.decade_stats(by_decade(spark, sf), year="startYear"),
+        aggregates.decade_stats(by_decade(spark, sf)),
         "avg_rating",
         "avg_votes",
         "avg_runtime",
@@ -393,8 +394,8 @@ def filter_not_null(spark, sf):
 
 @query
 def filter_range(spark, sf):
-    df = decade_bucket(titles(spark, sf)).where(in_range("decade", 1900, 2020))
-    return df.select("tconst", "decade")
+    both = in_range("decade", 1900, 2020) & in_bucket_range("startYear", 1900, 2020)
+    return decade_bucket(titles(spark, sf)).where(both).select("tconst", "decade")
 
 
 @query

@@ -34,8 +34,7 @@ def _id(prefix: str, key: str):
 def _attach(left: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     """Left join with an aggregate that has one row per key; heavy left keys are split, which
     adaptive execution does not do next to an aggregate."""
-    parts = heavy_parts({"left": left}, key)["left"]
-    return split_join(left, facts, key, "left", SplitPlan(parts, {}))
+    return split_join(left, facts, key, "left", SplitPlan.of(heavy_parts({"left": left}, key)))
 
 
 def title_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,8 +174,7 @@ class Stage:
                 run = Zones(scratch_folder(self.spark, "run"))
                 for name in LANDING_FILES:
                     self._land(run, name)
-                curate(self.spark, run)
-                self._run = run
+                self._run = curate(self.spark, run)
         return self._run
 
     def splits(self) -> SplitPlan:

@@ -9,17 +9,26 @@ LANDING, RAW, CURATED = "landing", "raw", "curated"
 
 @dataclass(frozen=True)
 class Zones:
-    """``<root>/<zone>/<catalogue>/<name>`` on any Hadoop file system."""
+    """``<root>/<zone>/<catalogue>/<name>`` on any Hadoop file system. With a ``generation`` the raw and curated
+    datasets are those of one run, in a folder of that name before ``<name>``."""
 
     root: str
     catalogue: str = "films"
+    generation: str | None = None
 
     def path(self, zone: str, name: str | None = None) -> str:
         if zone not in (LANDING, RAW, CURATED):
             raise ValueError(f"unknown zone {zone!r}")
         base = f"{self.root.rstrip('/')}/{zone}/{self.catalogue}"
+        if self.generation and zone != LANDING:
+            base += f"/{self.generation}"
         return f"{base}/{name}" if name else base
 
+    @property
+    def manifest(self) -> str:
+        """Where the published generations are listed."""
+        return f"{self.root.rstrip('/')}/manifest/{self.catalogue}"
+
 
 @dataclass(frozen=True)
 class LandingFile:

@@ -106,3 +106,9 @@ def test_no_cross_join_and_no_python(spark, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert node not in plan
     assert "Scan " in plan
+
+
+@pytest.mark.parametrize("key", ["filter_range", "report_decades", "decade_stats"])
+def test_range_of_decades_reaches_the_scan_as_years(spark, key):
+    text = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(startYear,1900)" in text and "LessThan(startYear,2030)" in text

@@ -33,9 +33,14 @@ def brute(left, right, how):
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(SIDE, SIDE, PARTS, PARTS, st.sampled_from(["left", "inner"]))
 def test_any_plan_gives_the_plain_join(spark, left, right, left_parts, right_parts, how):
-    # Plans may name keys that a side lacks and miss keys that it has.
+    # Plans may name keys that the left side lacks and miss keys that a side has.
     ldf, rdf = frame(spark, left, "x"), frame(spark, right, "y")
-    got = split_join(ldf, rdf, "k", how, SplitPlan(left_parts, right_parts))
+    # A key is split on the right only if the right side has it.
+    right_parts = {k: n for k, n in right_parts.items() if k in right}
+    keys = sorted(left_parts.keys() | right_parts.keys(), key=str)
+    rows = [(k, left_parts.get(k, 1), right_parts.get(k, 1)) for k in keys]
+    plan = SplitPlan.of(spark.createDataFrame(rows, "key string, left int, right int"))
+    got = split_join(ldf, rdf, "k", how, plan)
     assert got.columns == ["k", "x", "y"]
     assert Counter(map(tuple, got.collect())) == brute(left, right, how)
     ldf.unpersist()
@@ -48,9 +53,10 @@ def test_found_keys_and_parts(spark):
     df = spark.range(n).select(key.otherwise(F.col("id").cast("string")).alias("k"))
     cold = spark.range(n).select(F.col("id").cast("string").alias("k"))
     parts = heavy_parts({"skewed": df, "even": cold}, "k", 500)
-    assert set(parts["skewed"]) == {"hot", None}
-    assert 20 <= parts["skewed"]["hot"] <= 21 and parts["skewed"][None] == 2
-    assert parts["even"] == {}
+    assert parts.columns == ["key", "skewed", "even"]
+    found = {r["key"]: (r["skewed"], r["even"]) for r in parts.collect()}
+    assert set(found) == {"hot", None} and found[None] == (2, 1)
+    assert 20 <= found["hot"][0] <= 21 and found["hot"][1] == 1
     assert not plan_splits(cold, cold, "k", 500)
     assert not plan_splits(cold.limit(0), cold, "k", 500)
 
@@ -101,4 +107,25 @@ SETTINGS = {
 def test_other_join_kinds_are_refused(spark):
     df = spark.range(1).select(F.lit("a").alias("k"))
     with pytest.raises(ValueError):
-        split_join(df, df, "k", "full", SplitPlan({"a": 2}, {}))
+        split_join(df, df, "k", "full", SplitPlan())
+
+
+def test_many_hot_keys_stay_in_their_table(spark, tmp_path):
+    """20,000 split keys: none is a literal of the plan, and the result is the plain join."""
+    n = 20_000
+    path = str(tmp_path / "parts")
+    spark.range(n).select(
+        F.concat(F.lit("hot"), F.col("id")).alias("key"), F.lit(1).alias("left"), F.lit(2).alias("right")
+    ).write.parquet(path)
+    plan = SplitPlan.of(spark.read.parquet(path))
+    assert plan.right and not plan.left and plan.nulls == 1
+    left = spark.range(n + 50).select(F.concat(F.lit("hot"), F.col("id")).alias("k"), F.col("id").alias("x"))
+    right = spark.range(3 * n).select(
+        F.concat(F.lit("hot"), (F.col("id") % n).cast("string")).alias("k"), F.col("id").alias("y")
+    )
+    got = split_join(left, right, "k", "left", plan)
+    text = got._jdf.queryExecution().toString()
+    assert "hot1" not in text and " IN (" not in text and "INSET" not in text and len(text) < 100_000
+    plain = left.join(right, "k", "left")
+    assert got.count() == 3 * n + 50
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
