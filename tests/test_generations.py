@@ -64,14 +64,14 @@ def test_fifth_write_fails_and_readers_keep_the_old_run(spark, tmp_path, monkeyp
 
 def test_foreign_folders_and_short_zones_are_not_complete(spark, tmp_path):
     zones = Zones(str(tmp_path))
-    for name in ("genre_stats", *(f"foreign{i}" for i in range(9))):
+    for name in ("genre_stats", *(f"unlisted{i}" for i in range(9))):
         spark.range(3).write.parquet(zones.path(CURATED, name))
     spark.range(0).write.parquet(zones.path(RAW, "title_basics"))
     found = {r["dataset"]: r for r in checks.zone_inventory(spark, zones).collect()}
     assert len(found) == 9 and not any(r["ok"] for r in found.values())
     assert found["genre_stats"]["n_rows"] == 3 and found["title_basics"]["n_rows"] == 0
     plan = checks.zone_inventory(spark, zones)._jdf.queryExecution().toString()
-    assert "binaryFile" not in plan and "foreign" not in plan
+    assert "binaryFile" not in plan and "unlisted" not in plan
 
 
 def test_published_bucket_range_reads_whole_buckets(spark):
