@@ -138,9 +138,27 @@ def test_secret_spans_and_the_ledger(spark, docs, texts, empty):
     assert spark.read.parquet(path).count() == before  # every blob has been scanned
     newer = (*secret_scan.RULES[:3], secret_scan.Rule("pem", 2, "hunter", 0, 1))
     assert any(s["kind"] == "pem" for s in by_id(secret_scan.findings(docs, path, newer))[13]["spans"])
+    # Of the rule's old version nothing is left, whatever the ledger has seen, and nothing counts twice.
+    entries = spark.read.schema(secret_scan.LEDGER).parquet(path)
+    Work(spark, "t").stored(entries, "copy").write.mode("append").parquet(path)
+    swapped = (newer[3], *newer[:3])
+    for rules in (newer, secret_scan.RULES, swapped):
+        fresh = by_id(secret_scan.findings(docs, Work(spark, "t").path("ledger"), rules))
+        assert by_id(secret_scan.findings(docs, path, rules)) == fresh
     assert secret_scan.findings(empty, Work(spark, "t").path("ledger")).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 15, 16, 17, 300, 5000, 100_000])
+def test_many_secrets_in_one_text(spark, n):
+    text = " ".join(f"token={'x' * (5 + i % 3)}é" for i in range(n))
+    rule = secret_scan.BASE_RULES[0]
+    got = spark.createDataFrame([(text,)], "text string").select(
+        secret_scan.spans_of(rule, F.col("text")).alias("s")
+    ).first()["s"]
+    want = [(rule.id, m.start(), m.end()) for m in re.finditer(rule.pattern, text) if len(m[2]) >= rule.least]
+    assert [tuple(s) for s in got] == want
+
+
 def plain_components(texts, size, percent):
     sets = {}
     for i, t in enumerate(texts):
