@@ -67,7 +67,7 @@ def heavy_parts(
     table = heavy.groupBy("key").agg(
         *(F.coalesce(F.max(F.when(F.col("side") == i, parts)), F.lit(1)).alias(name) for i, name in enumerate(names))
     )
-    path = f"{scratch_folder(spark, 'hot-keys')}/parts"
+    path = f"{scratch_folder(spark, 'hot-keys', lasting=True)}/parts"
     table.write.parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 

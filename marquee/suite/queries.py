@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from marquee.functions.predicates import (
 )
 from marquee.operators import aggregates, generators, joins, ranking
 from marquee.plans import checks, curation, reports
-from marquee.session import scratch_folder
+from marquee.session import lease_database, scratch_folder
 from marquee.sources import tables, text
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.suite.views import BREWERY_DDL, Stage, breweries, table
@@ -39,8 +40,14 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     """Register a query under its function's name, less a trailing underscore."""
-    QUERIES[fn.__name__.removesuffix("_")] = fn
-    return fn
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with Stage.one_look():
+            return fn(spark, sf)
+
+    QUERIES[fn.__name__.removesuffix("_")] = run
+    return run
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -155,10 +162,11 @@ def sink_text_roundtrip(spark, sf):
 
 
 def new_database(spark, prefix):
-    """A database of its own for this run; the current one stays."""
+    """A database of its own for this run, which goes when the lease ends; the current one stays."""
     name = f"{prefix}_{uuid.uuid4().hex}"
     current = spark.catalog.currentDatabase()
     tables.ensure_database(spark, name, f"{scratch_folder(spark, 'tables')}/{name}")
+    lease_database(spark, name)
     spark.catalog.setCurrentDatabase(current)
     return name
 

@@ -6,6 +6,9 @@ has line items, a person per customer and block of order keys. NULLs, malformed
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,28 +120,62 @@ LANDING_VIEWS = {
 }
 
 
+CATALOGUE_TABLES = ("customer", "lineitem", "orders", "part")
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """The number of files of the tables behind the catalogue and the sum of the hashes of their paths, lengths and
+    times, from the file listing alone."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in CATALOGUE_TABLES]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    seen = F.xxhash64("path", "length", "modificationTime").cast("decimal(38, 0)")
+    found = files.agg(F.count("*").alias("n"), F.coalesce(F.sum(seen), F.lit(0)).alias("sum")).first()
+    return found["n"], int(found["sum"])
+
+
+_looked: ContextVar[dict | None] = ContextVar("stages that the running query has looked at", default=None)
+
+
 class Stage:
     """The catalogue of one set of tables. Each landing file and raw dataset is written once per
-    Spark application, when a query first asks for it, and read from there by every query."""
+    Spark application and state of the tables, when a query first asks for it, and read from there by every query."""
 
-    _known: dict[tuple[str, str], Stage] = {}
+    _known: dict[tuple[str, str], tuple[tuple[int, int], Stage]] = {}
     # Two threads must not write one folder.
     _lock = RLock()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.zones = Zones(scratch_folder(spark, "catalogue"))
+        self.zones = Zones(scratch_folder(spark, "catalogue", lasting=True))
         self._written: set[tuple[str, str]] = set()
         self._splits: SplitPlan | None = None
         self._run: Zones | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Stage:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        """The stage of the tables as they are now; tables that have changed since get a new one. Within
+        :meth:`one_look` the tables are looked at once, so all parts of a query see one state."""
+        key, looked = (spark.sparkContext.applicationId, sf_dir), _looked.get()
+        if looked is not None and key in looked:
+            return looked[key]
+        now = fingerprint(spark, sf_dir)
         with cls._lock:
-            if key not in cls._known:
-                cls._known[key] = cls(spark, sf_dir)
-            return cls._known[key]
+            if key not in cls._known or cls._known[key][0] != now:
+                cls._known[key] = now, cls(spark, sf_dir)
+            stage = cls._known[key][1]
+        if looked is not None:
+            looked[key] = stage
+        return stage
+
+    @staticmethod
+    @contextmanager
+    def one_look() -> Iterator[None]:
+        outer = _looked.get()
+        token = _looked.set({} if outer is None else outer)
+        try:
+            yield
+        finally:
+            _looked.reset(token)
 
     def land(self, *names: str) -> Zones:
         """The zones with these landing files in place (all of them by default)."""
@@ -171,7 +208,7 @@ class Stage:
         """The zones that a whole run from landing files has filled, apart from the others."""
         with self._lock:
             if self._run is None:
-                run = Zones(scratch_folder(self.spark, "run"))
+                run = Zones(scratch_folder(self.spark, "run", lasting=True))
                 for name in LANDING_FILES:
                     self._land(run, name)
                 self._run = curate(self.spark, run)
