@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import logging
 import tempfile
 import uuid
 from contextvars import ContextVar
 from functools import cache
 from threading import Lock
 
-from py4j.protocol import Py4JError
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
@@ -96,8 +96,8 @@ def _release_application() -> None:
         _application.databases.clear()
     try:
         _application.release()
-    except (Py4JError, OSError):
-        pass
+    except Exception as error:  # noqa: BLE001 - the work is done; what could not be removed is named
+        logging.getLogger(__name__).warning("scratch was not removed: %s", error)
 
 
 @cache
