@@ -23,11 +23,11 @@ def in_range(column: str, low: object, high: object) -> Column:
 
 
 def in_bucket_range(source: str, low: int, high: int, width: int = 10) -> Column:
-    """Whether the bucket of ``source`` (its floor to a multiple of ``width``) is from ``low`` to ``high``, as a range
-    of ``source`` itself, which a scan can use where the bucket is computed."""
+    """Whether the bucket of ``source``, a column of whole numbers, (its floor to a multiple of ``width``) is from ``low`` to
+    ``high``, as a range of ``source`` itself, which a scan can use where the bucket is computed."""
     first = -(-low // width) * width
-    end = (high // width + 1) * width
-    return (F.col(source) >= F.lit(first)) & (F.col(source) < F.lit(end))
+    last = (high // width + 1) * width - 1
+    return in_range(source, first, last)
 
 
 def at_least(column: str, threshold: object) -> Column:
