@@ -220,7 +220,8 @@ def remove_repeats(docs: DataFrame, work: Work, length: int = LENGTH) -> DataFra
         places.join(known, ["anchor", "own"]).select("row", F.struct("anchor", "at", kind.alias("kind")).alias("ask")),
         "asks",
     )
-    by_row = asks.groupBy("row").agg(F.collect_list("ask").alias("asks"))
+    # Rows that repeat identifier and text share one list: each of them puts in the same asks.
+    by_row = asks.groupBy("row").agg(F.collect_set("ask").alias("asks"))
     looked = work.stored(first_look(keyed.join(by_row, "row", "left"), length), "looked")
     windows = looked.where("windows IS NOT NULL").select("row", F.explode("windows").alias("w")).select("row", "w.*")
     twice = work.stored(
@@ -228,7 +229,7 @@ def remove_repeats(docs: DataFrame, work: Work, length: int = LENGTH) -> DataFra
         "twice",
     )
     found = work.stored(windows.join(twice, ["anchor", "own"]).select("row", "at"), "found")
-    found = found.groupBy("row").agg(F.collect_list("at").alias("found"))
+    found = found.groupBy("row").agg(F.collect_set("at").alias("found"))
     rest = last_look(looked.where("windows IS NOT NULL").join(found, "row", "left"), length)
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     return looked.where("windows IS NULL").select(*columns).unionByName(rest.select(*columns))

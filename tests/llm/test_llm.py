@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,19 @@ def test_repeated_passages(spark, docs, texts, empty):
     assert substring.remove_repeats(empty, Work(spark, "t")).count() == 0
 
 
+def test_many_equal_rows_with_repeated_passages(spark):
+    """One row a third of the table, beside texts that share part of it; the work is linear in its copies."""
+    shared, other = words(1, 300), words(2, 300)
+    texts = {1: shared, 2: other + shared[100:200], 3: [f"only{i}" for i in range(300)]}
+    copies = {1: 3000, 2: 1, 3: 1}
+    rows = [(i, " ".join(texts[i])) for i, n in copies.items() for _ in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    start = time.monotonic()
+    got = substring.remove_repeats(docs, Work(spark, "t")).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert time.monotonic() - start < 60
+    assert {tuple(r) for r in got} == {(1, 300, 300, 3000), (2, 400, 100, 1), (3, 300, 0, 1)}
+
+
 def test_segments_are_those_of_ruzzo_and_tompa():
     found = toxicity.segments(toxicity.np.array([0, 1, 9, 10]), toxicity.np.array([3.0, 1.0, 2.0, 2.0]))
     assert [(round(s, 6), a, b) for s, a, b in found] == [(4.5, 0, 3)]
