@@ -146,6 +146,8 @@ BY_VOLUME = "title_count DESC NULLS LAST, genre"
 
 BODIES = {
     "scan_tsv": "SELECT * FROM title_basics_txt",
+    "scan_tsv_quoted": """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name || chr(9) || CAST(s_nationkey AS VARCHAR) AS label FROM supplier""",
     "scan_csv_positional": """
 SELECT nullif(num, '') AS _c0, name AS _c1, city AS _c2, state AS _c3, id AS _c4 FROM breweries""",
     "scan_parquet": "SELECT * FROM ratings",
@@ -215,6 +217,8 @@ SELECT nconst, count(tconst) AS title_count FROM known_for
 GROUP BY nconst, primaryName, primaryProfession HAVING count(tconst) >= 3""",
     "filter_contains": """
 SELECT nconst, primaryProfession FROM names WHERE primaryProfession LIKE '%director%'""",
+    "filter_contains_any_case": """
+SELECT nconst, primaryName FROM names WHERE primaryName ILIKE '%customer#00000000%'""",
     "filter_contains_element": """
 SELECT nconst, primaryProfession FROM names
 WHERE list_contains(string_split(primaryProfession, ','), 'director')""",

@@ -124,6 +124,18 @@ def scan_tsv(spark, sf):
     return landing_text(spark, sf, "title_basics")
 
 
+@query
+def scan_tsv_quoted(spark, sf):
+    """A file that quotes its fields, one of which holds a tab."""
+    path = scratch_folder(spark, "quoted") + "/tsv"
+    supplier = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.concat("s_name", F.lit("\t"), F.col("s_nationkey").cast("string")).alias("label"),
+    )
+    supplier.write.option("sep", "\t").option("header", True).option("quoteAll", True).csv(path)
+    return text.read_tsv(spark, path, ("id", "label"), quote='"')
+
+
 def brewery_files(spark, sf):
     path = scratch_folder(spark, "breweries") + "/csv"
     breweries(spark, sf).write.option("emptyValue", "").csv(path)
@@ -420,6 +432,12 @@ def filter_contains(spark, sf):
     )
 
 
+@query
+def filter_contains_any_case(spark, sf):
+    found = mentions("primaryName", "CUSTOMER#00000000", case_insensitive=True)
+    return names(spark, sf).where(found).select("nconst", "primaryName")
+
+
 @query
 def filter_contains_element(spark, sf):
     return (
