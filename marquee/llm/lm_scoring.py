@@ -1,23 +1,31 @@
-"""Language-model scores with stupid backoff, as joins of n-gram tables.
+"""Language-model scores with stupid backoff, as joins of n-gram count tables.
 
-Counts of all runs of 1 to ``ORDER`` words are kept in tables by the hash of the run; a run of two or more words is
-in the model if it occurs at least twice in the corpus, and has the score count / count of the run without its last
-word. Each document's distinct runs are joined to the table of the longest ones; what finds no partner goes on to
-the shorter run with a factor of 0.4 each time. Single words have the score count / words in the corpus. Logarithms
-are summed per document. A text begins with as many start marks as a run looks back.
+The model counts all runs of 1 to ``ORDER`` words of the corpus. Each word of a document is scored against all other
+occurrences: its longest run that occurs elsewhere has the score (count - 1) / (count of the run without its last word - 1),
+each step to a shorter run costs a factor of 0.4, and a single word that occurs nowhere else counts as if it did once.
+Logarithms are summed per document. A text begins with as many start marks as a run looks back.
 
-Defined results: NULL texts and texts without words have 0 words and the score NULL. Rows with equal identifiers
-and texts each give a row. Only identifier and text are read. An empty table gives an empty result.
+Documents are counted in blocks of neighbouring rows. A block's distinct runs travel packed: one row holds the sorted
+numbers and counts of one block in one range of hashes. The counts of a range are summed and joined back to the rows
+that asked, and each block meets its answers to score its documents. A run is there once per block, however often it
+occurs, so no range is hot. Ranges are counted in ``SLICES`` turns, whose shuffles are released one after the other.
+The number of ranges follows the size of the corpus, so that a range fits into a task.
+
+Defined results: NULL texts and texts without words have 0 words and the score NULL. Repeated rows each give a row.
+Only identifier and text are read. An empty table gives an empty result. Rows are read more than once; a block whose runs
+differ from what was counted is an error.
 """
 
 from __future__ import annotations
 
+import gc
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.common import WORD, Work, table, whole_text
@@ -25,7 +33,17 @@ from marquee.llm.words import BASE, mix, word_numbers
 
 ORDER = 3
 BACKOFF = 0.4
-LEAST_COUNT = 2
+SLICES = 3
+# Neighbouring rows of a block, and the length in code points from which a text is a block of its own.
+BLOCK_ROWS = 1024
+LONG_TEXT = 1 << 15
+# Code points of the corpus for each range of hashes.
+RANGE_CHARS = 1 << 21
+# What every block asks for to learn the number of words in the corpus.
+ALL_WORDS = np.uint64(0xA11)
+
+ASKED = "range long, block long, runs binary, counts binary, ends binary, mark long"
+ANSWERED = "block long, range long, counts binary, begun binary, mark long"
 
 
 def runs(text: str, order: int) -> list[np.ndarray]:
@@ -35,122 +53,202 @@ def runs(text: str, order: int) -> list[np.ndarray]:
     out, total = [], np.zeros(len(words), np.uint64)
     for k in range(order):
         total = mix(total * np.uint64(BASE) + padded[order - 1 - k : len(padded) - k])
-        out.append(total.view(np.int64))
+        out.append(total)
     return out
 
 
-def contexts(text: str, order: int) -> list[np.ndarray]:
-    """For each word and length of run from 2 on, the number of the run without its last word."""
-    words = word_numbers(text, False)[0]
-    padded = np.concatenate([np.ones(order, np.uint64), words])[:-1] if len(words) else words
-    out, total = [], np.zeros(len(words), np.uint64)
-    for k in range(order - 1):
-        total = mix(total * np.uint64(BASE) + padded[order - 1 - k : len(padded) - k])
-        out.append(total.view(np.int64))
-    return out
+def start_runs(order: int) -> np.ndarray:
+    """The numbers of the runs of 1 to ``order`` - 1 start marks."""
+    out, total = [], np.zeros(1, np.uint64)
+    for _ in range(order - 1):
+        total = mix(total * np.uint64(BASE) + np.uint64(1))
+        out.append(total)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def run_counts(texts: DataFrame, order: int) -> DataFrame:
-    """``k``, ``run``, ``context`` and the count ``n`` of all runs; counted in each batch first."""
+def first_of(ranges: int, at: int) -> int:
+    """The least number that falls into range ``at`` of ``ranges`` equal ones."""
+    return -(-(at << 64) // ranges)
 
-    def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
-            each = [t.as_py() for t in batch.column(0)]
-            own = [runs(t, order) for t in each]
-            before = [contexts(t, order) for t in each]
-            for k in range(order):
-                run = np.concatenate([o[k] for o in own])
-                context = np.concatenate([b[k - 1] for b in before]) if k else np.zeros(len(run), np.int64)
-                run, first, n = np.unique(run, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(run), k + 1, np.int32)), pa.array(run), pa.array(context[first]), pa.array(n)],
-                    names=["k", "run", "context", "n"],
-                )
-
-    counted = texts.select("text").mapInArrow(batches, "k int, run long, context long, n long")
-    return counted.groupBy("k", "run", "context").agg(F.sum("n").alias("n"))
-
-
-def document_runs(rows: DataFrame, order: int) -> DataFrame:
-    """``row``, the distinct longest runs of the text with their shorter ones, ``r1`` to ``r<order>``,
-    and how often each occurs, ``n``."""
-    names = [f"r{k}" for k in range(1, order + 1)]
+
+def count_runs(texts: list[str], order: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs of a block from ``low`` to below ``high``, sorted, how often each occurs, and how often
+    as the last of a text, where no word continues it."""
+    every, last, words, begun = [], [], 0, 0
+    for text in texts:
+        own = runs(text, order)
+        if len(own[0]):
+            every += own
+            last += [o[-1:] for o in own[:-1]]
+            words, begun = words + len(own[0]), begun + 1
+    # Start marks are continued once in each text with words.
+    extra = np.append(start_runs(order), ALL_WORDS)
+    weights = np.array([begun] * (len(extra) - 1) + [words], np.int64)
+
+    def inside(x: np.ndarray) -> np.ndarray:
+        return (x >= np.uint64(low)) & (x <= np.uint64(high - 1))
+
+    found = np.concatenate([*every, extra[:0]])
+    found, n = np.unique(found[inside(found)], return_counts=True)
+    extra, weights = extra[inside(extra)], weights[inside(extra)]
+    merged = np.union1d(found, extra)
+    counts, ends = np.zeros(len(merged), np.int64), np.zeros(len(merged), np.int64)
+    counts[np.searchsorted(merged, found)] = n
+    np.add.at(counts, np.searchsorted(merged, extra), weights)
+    over = np.concatenate([*last, extra[:0]])
+    np.add.at(ends, np.searchsorted(merged, over[inside(over)]), 1)
+    return merged, counts, ends
+
+
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``block``. Rows keep their order, and those of a block are neighbours, with
+    long texts, which are blocks of their own, between them."""
+    text = whole_text()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("at"))
+    block = F.when(F.length("text") > LONG_TEXT, F.col("at") * 2 + 1).otherwise(F.floor(F.col("at") / BLOCK_ROWS) * 2)
+    return rows.select("doc_id", "text", block.cast("bigint").alias("block"))
+
+
+def asked(rows: DataFrame, order: int, ranges: int, slice_: int) -> DataFrame:
+    """What each block counts in the ranges of a slice, a row for each range."""
+    first, end = slice_ * ranges // SLICES, (slice_ + 1) * ranges // SLICES
+    edges = np.array([first_of(ranges, at) for at in range(first + 1, end)], np.uint64)
+
+    def rows_of(block: int, texts: list[str]) -> pa.RecordBatch:
+        found, counts, ends = count_runs(texts, order, first_of(ranges, first), first_of(ranges, end))
+        cuts = [0, *np.searchsorted(found, edges).tolist(), len(found)]
+        parts = [(at, slice(a, b)) for at, a, b in zip(range(first, end), cuts, cuts[1:]) if a < b]
+        packed = [found[p].tobytes() for _, p in parts]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([at for at, _ in parts], pa.int64()),
+                pa.array([block] * len(parts), pa.int64()),
+                pa.array(packed, pa.binary()),
+                pa.array([counts[p].astype(np.uint32).tobytes() for _, p in parts], pa.binary()),
+                pa.array([ends[p].astype(np.uint32).tobytes() for _, p in parts], pa.binary()),
+                pa.array([zlib.crc32(b) for b in packed], pa.int64()),
+            ],
+            names=["range", "block", "runs", "counts", "ends", "mark"],
+        )
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
         for batch in arrow:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = runs(text.as_py(), order)
-                _, first, n = np.unique(own[-1], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), row, np.int64)), pa.array(n.astype(np.int64))]
-                    + [pa.array(o[first]) for o in own],
-                    names=["row", "n", *names],
-                )
-
-    return rows.select("row", "text").mapInArrow(
-        batches, "row long, n long, " + ", ".join(f"{n} long" for n in names)
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block % 2:
+                    yield rows_of(block, [text.as_py()])
+                    continue
+                if block != current and held:
+                    yield rows_of(current, held)
+                    held = []
+                current = block
+                held.append(text.as_py())
+        if held:
+            yield rows_of(current, held)
+
+    return rows.select("block", "text").mapInArrow(batches, ASKED)
+
+
+def answer(group: pa.Table) -> pa.Table:
+    """The corpus counts of a range, given back to each block in its own order: occurrences of a run, and how
+    often a word continues it."""
+    sizes = [len(b) // 8 for b in group["runs"].to_pylist()]
+    found, place = np.unique(_unpacked(group["runs"], np.uint64), return_inverse=True)
+    counts = np.bincount(place, _unpacked(group["counts"], np.uint32), len(found)).astype(np.int64)
+    begun = counts - np.bincount(place, _unpacked(group["ends"], np.uint32), len(found)).astype(np.int64)
+    own = np.split(place, np.cumsum(sizes)[:-1])
+    return pa.table(
+        {
+            "block": group["block"],
+            "range": group["range"],
+            "counts": pa.array([counts[o].tobytes() for o in own], pa.binary()),
+            "begun": pa.array([begun[o].tobytes() for o in own], pa.binary()),
+            "mark": group["mark"],
+        }
     )
 
 
-def model_tables(texts: DataFrame, work: Work, order: int) -> list[DataFrame]:
-    """For each length of run ``run`` and ``score``, the logarithm of its relative frequency."""
-    counts = work.stored(run_counts(texts, order), "counts")
-    single = counts.where("k = 1")
-    words = single.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0]
-    out = [work.stored(single.select("run", F.log(F.col("n") / float(words)).alias("score")), "model-1")]
-    for k in range(2, order + 1):
-        own = counts.where((F.col("k") == k) & (F.col("n") >= LEAST_COUNT))
-        # What a context occurs as: the sum over the runs that continue it.
-        begun = counts.where(F.col("k") == k).groupBy("context").agg(F.sum("n").alias("whole"))
-        begun = work.stored(begun.where(F.col("whole") >= LEAST_COUNT), f"contexts-{k}")
-        out.append(
-            work.stored(
-                own.join(begun, "context").select("run", F.log(F.col("n") / F.col("whole")).alias("score")),
-                f"model-{k}",
-            )
-        )
-    return out
+def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def scores(docs: DataFrame, work: Work, order: int = ORDER) -> DataFrame:
-    """Per row ``doc_id``, ``n_words``, ``log_score`` (sum) and ``score`` (per word)."""
-    text = whole_text()
-    keyed = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", text).alias("row"), text.alias("text")
-    )
-    tables = model_tables(keyed, work, order)
-    rest = document_runs(keyed, order)
+def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -> tuple[list[int], list[float | None]]:
+    """Words and sum of logarithms of each text of a block, given the answers to what it asked."""
+    found, _, _ = count_runs(texts, order, 0, 1 << 64)
+    answers = answers.sort_by("range")
+    at = answers["range"].to_pylist()
+    cuts = np.searchsorted(found, np.array([first_of(ranges, r) for r in at], np.uint64)).tolist() + [len(found)]
+    marks = [zlib.crc32(found[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+    if cuts[0] or marks != answers["mark"].to_pylist():
+        raise ValueError("the documents were read in another order than before; store them first")
+    counts, begun = _unpacked(answers["counts"], np.int64), _unpacked(answers["begun"], np.int64)
+    words = int(counts[np.searchsorted(found, ALL_WORDS)])
+    start = np.searchsorted(found, start_runs(order))
+    n, logs = [], []
+    for text in texts:
+        own = [np.searchsorted(found, r) for r in runs(text, order)]
+        n.append(len(own[0]))
+        if not len(own[0]):
+            logs.append(None)
+            continue
+        log = np.log(np.maximum(counts[own[0]] - 1, 1) / max(words - 1, 1)) + (order - 1) * math.log(BACKOFF)
+        for k in range(1, order):
+            # A run without its last word is the run of one word less that ends a word before.
+            context = np.append(start[k - 1], own[k - 1][:-1])
+            seen = counts[own[k]] > 1
+            share = (counts[own[k]][seen] - 1) / (begun[context][seen] - 1)
+            log[seen] = np.log(share) + (order - 1 - k) * math.log(BACKOFF)
+        logs.append(float(log.sum()))
+    return n, logs
+
+
+def scores(docs: DataFrame, work: Work, order: int = ORDER, scanned: bool = False) -> DataFrame:
+    """Per row ``doc_id``, ``n_words``, ``log_score`` (sum) and ``score`` (per word). Rows are written first, unless
+    they are ``scanned`` from files as they are and so come in the same order each time."""
+    if not scanned:
+        docs = work.stored(docs.select("doc_id", "text"), "documents")
+    rows = in_blocks(docs)
+    chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    ranges = max(SLICES, chars // RANGE_CHARS)
     parts = []
-    for k in range(order, 0, -1):
-        model = tables[k - 1].withColumnRenamed("run", f"r{k}")
-        met = work.stored(rest.join(model, f"r{k}", "left"), f"met-{k}")
-        log = F.col("n") * (F.col("score") + (order - k) * math.log(BACKOFF))
-        parts.append(
-            met.where("score IS NOT NULL").groupBy("row").agg(F.sum("n").alias("n"), F.sum(log).alias("log"))
-        )
-        rest = met.where("score IS NULL").drop("score", f"r{k}")
-    total = parts[0]
+    for s in range(SLICES):
+        counted = asked(rows, order, ranges, s).groupBy("range").applyInArrow(answer, ANSWERED)
+        parts.append(work.stored(counted, f"counts-{s}"))
+        del counted
+        release(work.spark)
+    answers = parts[0]
     for part in parts[1:]:
-        total = total.unionByName(part)
-    # Copies of a row have put in their runs once each.
-    copies = keyed.groupBy("row").agg(F.count("*").alias("copies"))
-    summed = work.stored(
-        total.groupBy("row").agg(F.sum("n").alias("n"), F.sum("log").alias("log")).join(copies, "row")
-        .select("row", (F.col("n") / F.col("copies")).cast("bigint").alias("n"), (F.col("log") / F.col("copies")).alias("log")),
-        "summed",
-    )
-    return keyed.drop("text").join(summed, "row", "left").select(
-        "doc_id",
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_words"),
-        F.col("log").alias("log_score"),
-        (F.col("log") / F.col("n")).alias("score"),
+        answers = answers.unionByName(part)
+
+    def scored(block: pa.Table, given: pa.Table) -> pa.Table:
+        n, logs = block_scores(block["text"].to_pylist(), given, order, ranges)
+        return pa.table(
+            {"doc_id": block["doc_id"], "n_words": pa.array(n, pa.int64()), "log_score": pa.array(logs, pa.float64())}
+        )
+
+    return (
+        rows.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(scored, "doc_id long, n_words long, log_score double")
+        .withColumn("score", _per_word())
     )
 
 
+def _per_word() -> Column:
+    return F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs that nothing refers to any more. It does so when the
+    driver collects garbage, which it may have no other reason to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's score under the model of all documents, rounded since the last digits depend on
     the order of summation."""
-    scored = scores(table(spark, sf_dir, "documents"), Work(spark, "lm"))
+    scored = scores(table(spark, sf_dir, "documents"), Work(spark, "lm"), scanned=True)
     return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "score")})
 
 
@@ -162,9 +260,9 @@ placed AS (SELECT id, unnest(words) AS c, unnest(list_concat([''], words[:len(wo
 counted AS (SELECT id, count(*) OVER (PARTITION BY a, b, c) AS n3, count(*) OVER (PARTITION BY a, b) AS whole3,
   count(*) OVER (PARTITION BY b, c) AS n2, count(*) OVER (PARTITION BY b) AS whole2,
   count(*) OVER (PARTITION BY c) AS n1, count(*) OVER () AS whole1 FROM placed),
-logs AS (SELECT id, CASE WHEN n3 >= {LEAST_COUNT} THEN ln(n3 / whole3)
-  WHEN n2 >= {LEAST_COUNT} THEN ln({BACKOFF} * n2 / whole2)
-  ELSE ln({BACKOFF} * {BACKOFF} * n1 / whole1) END AS log FROM counted),
+logs AS (SELECT id, CASE WHEN n3 > 1 THEN ln((n3 - 1) / (whole3 - 1))
+  WHEN n2 > 1 THEN ln({BACKOFF} * (n2 - 1) / (whole2 - 1))
+  ELSE ln({BACKOFF} * {BACKOFF} * greatest(n1 - 1, 1) / greatest(whole1 - 1, 1)) END AS log FROM counted),
 summed AS (SELECT id, count(*) AS n, sum(log) AS log FROM logs GROUP BY id)
 SELECT doc_id, coalesce(n, 0) AS n_words, round(log, 6) AS log_score, round(log / n, 6) AS score
 FROM texts LEFT JOIN summed USING (id)

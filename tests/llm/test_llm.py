@@ -321,21 +321,60 @@ def test_unfinished_components_raise(spark, monkeypatch):
         components.components(edges, Work(spark, "t"))
 
 
-def test_lm_scores(spark, docs, texts, empty):
-    got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=2))
-    corpus = [WORD.findall(t or "") for t in [*texts, "no identifier"]]
-    single, double, begun = {}, {}, {}
+def plain_lm_scores(texts, order):
+    """Words and sum of logarithms per text, each word against all its other occurrences."""
+    corpus = [WORD.findall(t or "") for t in texts]
+    counts, begun = {}, {}
+
+    def run(w, i, k):
+        return tuple((["<s>"] * order + w)[order + i + 1 - k : order + i + 1])
+
     for w in corpus:
-        for a, b in zip(["<s>", *w], w):
-            single[b] = single.get(b, 0) + 1
-            double[a, b] = double.get((a, b), 0) + 1
-            begun[a] = begun.get(a, 0) + 1
-    total, log = sum(single.values()), lm_scoring.math.log
-    for i, w in enumerate(corpus[:-1]):
-        want = sum(
-            log(double[a, b] / begun[a]) if double[a, b] > 1 else log(0.4 * single[b] / total)
-            for a, b in zip(["<s>", *w], w)
-        )
-        assert got[i]["n_words"] == len(w)
-        assert got[i]["log_score"] == (pytest.approx(want) if w else None)
-    assert lm_scoring.scores(empty, Work(spark, "t")).count() == 0
+        for i in range(len(w)):
+            for k in range(1, order + 1):
+                r = run(w, i, k)
+                counts[r] = counts.get(r, 0) + 1
+                begun[r[:-1]] = begun.get(r[:-1], 0) + 1
+
+    def log(w, i):
+        for k in range(order, 1, -1):
+            r = run(w, i, k)
+            if counts[r] > 1:
+                return math.log(0.4 ** (order - k) * (counts[r] - 1) / (begun[r[:-1]] - 1))
+        return math.log(0.4 ** (order - 1) * max(counts[run(w, i, 1)] - 1, 1) / max(begun[()] - 1, 1))
+
+    return [(len(w), sum(log(w, i) for i in range(len(w))) if w else None) for w in corpus]
+
+
+@pytest.mark.parametrize("order", [1, 3])
+def test_lm_scores(spark, docs, texts, empty, monkeypatch, order):
+    monkeypatch.setattr(lm_scoring, "RANGE_CHARS", 10_000)
+    monkeypatch.setattr(lm_scoring, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(lm_scoring, "LONG_TEXT", 600)
+    got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=order))
+    for i, (n, log) in enumerate(plain_lm_scores([*texts, "no identifier"], order)[:-1]):
+        assert got[i]["n_words"] == n
+        assert got[i]["log_score"] == (pytest.approx(log) if n else None)
+        assert got[i]["score"] == (pytest.approx(log / n) if n else None)
+    assert lm_scoring.scores(empty, Work(spark, "t"), order=order).count() == 0
+
+
+def test_lm_scores_of_one_word_and_of_repeated_rows(spark):
+    one = spark.createDataFrame([(1, "word")], "doc_id long, text string")
+    assert lm_scoring.scores(one, Work(spark, "t")).first()["log_score"] == pytest.approx(2 * math.log(0.4))
+    rows = [(7, "a b c d")] * 3000 + [(7, "a b x")] + [(None, None)]
+    got = lm_scoring.scores(spark.createDataFrame(rows, "doc_id long, text string"), Work(spark, "t")).collect()
+    want = plain_lm_scores([t for _, t in rows], 3)
+    assert sorted((r["n_words"], round(r["log_score"] or 0, 6)) for r in got) == sorted(
+        (n, round(log or 0, 6)) for n, log in want
+    )
+
+
+def test_lm_scores_refuse_another_order(spark):
+    own = lm_scoring.count_runs(["a b c"], 2, 0, 1 << 64)
+    mark = lm_scoring.zlib.crc32(own[0].tobytes())
+    zero = own[1].tobytes()
+    given = lm_scoring.pa.table({"range": [0], "counts": [zero], "begun": [zero], "mark": [mark]})
+    assert lm_scoring.block_scores(["a b c"], given, 2, 1)[0] == [3]
+    with pytest.raises(ValueError, match="another order"):
+        lm_scoring.block_scores(["a b d"], given, 2, 1)
