@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -34,9 +35,12 @@ from marquee.llm.words import BASE, mix, word_numbers
 ORDER = 3
 BACKOFF = 0.4
 SLICES = 3
-# Neighbouring rows of a block, and the length in code points from which a text is a block of its own.
+# Rows and code points of a block at most; a longer text is a block of its own. Blocks are of one of SIZES kinds.
 BLOCK_ROWS = 1024
-LONG_TEXT = 1 << 15
+BLOCK_CHARS = 1 << 24
+SIZES = 16
+# Code points whose words are numbered at a time.
+CHUNK_CHARS = 1 << 18
 # Code points of the corpus for each range of hashes.
 RANGE_CHARS = 1 << 21
 # What every block asks for to learn the number of words in the corpus.
@@ -46,15 +50,29 @@ ASKED = "range long, block long, runs binary, counts binary, ends binary, mark l
 ANSWERED = "block long, range long, counts binary, begun binary, mark long"
 
 
-def runs(text: str, order: int) -> list[np.ndarray]:
-    """For each word the number of the run of 1, 2, ... ``order`` words that ends there."""
-    words = word_numbers(text, False)[0]
-    padded = np.concatenate([np.ones(order - 1, np.uint64), words])
-    out, total = [], np.zeros(len(words), np.uint64)
+def word_runs(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words of each text, and for each word of all texts the number of the run of 1, 2, ... ``order`` words
+    that ends there."""
+    words, sizes, chunk, held = [], [], [], 0
+    for i, text in enumerate(texts, 1):
+        chunk.append(text)
+        held += len(text)
+        if held > CHUNK_CHARS or i == len(texts):
+            numbers, first, _, _ = word_numbers("\n".join(chunk), False)
+            ends = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 for t in chunk])
+            words.append(numbers)
+            sizes.append(np.diff(np.searchsorted(first, ends), prepend=0))
+            chunk, held = [], 0
+    number = np.concatenate([np.zeros(0, np.uint64), *words])
+    size = np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
+    begin = np.repeat(np.cumsum(size) - size, size)
+    place = np.arange(len(number)) - begin
+    out, total = [], np.zeros(len(number), np.uint64)
     for k in range(order):
-        total = mix(total * np.uint64(BASE) + padded[order - 1 - k : len(padded) - k])
+        back = number if not k else np.concatenate([np.ones(min(k, len(number)), np.uint64), number[:-k]])
+        total = mix(total * np.uint64(BASE) + np.where(place < k, np.uint64(1), back))
         out.append(total)
-    return out
+    return size, out
 
 
 def start_runs(order: int) -> np.ndarray:
@@ -71,42 +89,45 @@ def first_of(ranges: int, at: int) -> int:
     return -(-(at << 64) // ranges)
 
 
-def count_runs(texts: list[str], order: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct runs of a block from ``low`` to below ``high``, sorted, how often each occurs, and how often
-    as the last of a text, where no word continues it."""
-    every, last, words, begun = [], [], 0, 0
-    for text in texts:
-        own = runs(text, order)
-        if len(own[0]):
-            every += own
-            last += [o[-1:] for o in own[:-1]]
-            words, begun = words + len(own[0]), begun + 1
+def asked_runs(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text and their runs as of :func:`word_runs`; the runs that no word of the text continues, as each
+    last word has them; the further numbers that a block asks for, and their counts."""
+    size, own = word_runs(texts, order)
+    last = (np.cumsum(size) - 1)[size > 0]
+    ends = np.concatenate([np.zeros(0, np.uint64), *(o[last] for o in own[:-1])])
     # Start marks are continued once in each text with words.
     extra = np.append(start_runs(order), ALL_WORDS)
-    weights = np.array([begun] * (len(extra) - 1) + [words], np.int64)
+    weights = np.array([len(last)] * (len(extra) - 1) + [size.sum()], np.int64)
+    return size, own, ends, extra, weights
+
+
+def count_runs(texts: list[str], order: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs of a block from ``low`` to below ``high``, sorted, how often each occurs, and how often
+    as the last of a text."""
+    _, own, last, extra, weights = asked_runs(texts, order)
 
     def inside(x: np.ndarray) -> np.ndarray:
-        return (x >= np.uint64(low)) & (x <= np.uint64(high - 1))
+        return x[(x >= np.uint64(low)) & (x <= np.uint64(high - 1))]
 
-    found = np.concatenate([*every, extra[:0]])
-    found, n = np.unique(found[inside(found)], return_counts=True)
-    extra, weights = extra[inside(extra)], weights[inside(extra)]
-    merged = np.union1d(found, extra)
-    counts, ends = np.zeros(len(merged), np.int64), np.zeros(len(merged), np.int64)
-    counts[np.searchsorted(merged, found)] = n
-    np.add.at(counts, np.searchsorted(merged, extra), weights)
-    over = np.concatenate([*last, extra[:0]])
-    np.add.at(ends, np.searchsorted(merged, over[inside(over)]), 1)
-    return merged, counts, ends
+    found, counts = np.unique(np.concatenate([*map(inside, own), inside(extra)]), return_counts=True)
+    for number, weight in zip(extra, weights):
+        if low <= number < high:
+            counts[np.searchsorted(found, number)] += weight - 1
+    ends = np.zeros(len(found), np.int64)
+    np.add.at(ends, np.searchsorted(found, inside(last)), 1)
+    return found, counts, ends
 
 
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and ``block``. Rows keep their order, and those of a block are neighbours, with
-    long texts, which are blocks of their own, between them."""
+    """``doc_id``, ``text`` and ``block``: ``BLOCK_ROWS`` rows of one reading task, or for each doubling of a text's length
+    half as many, so that no block of several texts has more than ``BLOCK_CHARS`` code points."""
     text = whole_text()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("at"))
-    block = F.when(F.length("text") > LONG_TEXT, F.col("at") * 2 + 1).otherwise(F.floor(F.col("at") / BLOCK_ROWS) * 2)
-    return rows.select("doc_id", "text", block.cast("bigint").alias("block"))
+    most = BLOCK_ROWS.bit_length() - 1
+    longer = F.ceil(F.log2(F.greatest(F.length("text"), F.lit(1)) / (BLOCK_CHARS / BLOCK_ROWS)))
+    size = F.least(F.greatest(longer, F.lit(0)), F.lit(most)).cast("int")
+    block = F.call_function("shiftright", F.col("at"), most - F.col("size"))
+    return rows.withColumn("size", size).select("doc_id", "text", (block * SIZES + F.col("size")).cast("bigint").alias("block"))
 
 
 def asked(rows: DataFrame, order: int, ranges: int, slice_: int) -> DataFrame:
@@ -132,19 +153,16 @@ def asked(rows: DataFrame, order: int, ranges: int, slice_: int) -> DataFrame:
         )
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
+        # The open block of each size of text.
+        held: dict[int, tuple[int, list[str]]] = {}
         for batch in arrow:
             for block, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if block % 2:
-                    yield rows_of(block, [text.as_py()])
-                    continue
-                if block != current and held:
-                    yield rows_of(current, held)
-                    held = []
-                current = block
-                held.append(text.as_py())
-        if held:
-            yield rows_of(current, held)
+                size = block % SIZES
+                if size in held and held[size][0] != block:
+                    yield rows_of(*held.pop(size))
+                held.setdefault(size, (block, []))[1].append(text.as_py())
+        for block, texts in held.values():
+            yield rows_of(block, texts)
 
     return rows.select("block", "text").mapInArrow(batches, ASKED)
 
@@ -172,9 +190,15 @@ def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -> tuple[list[int], list[float | None]]:
+def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and sum of logarithms of each text of a block, given the answers to what it asked."""
-    found, _, _ = count_runs(texts, order, 0, 1 << 64)
+    size, own, _, extra, _ = asked_runs(texts, order)
+    asked_for = np.concatenate([*own, extra])
+    by = np.argsort(asked_for)
+    ordered = asked_for[by]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    found, place = ordered[new], np.empty(len(by), np.int64)
+    place[by] = np.cumsum(new) - 1
     answers = answers.sort_by("range")
     at = answers["range"].to_pylist()
     cuts = np.searchsorted(found, np.array([first_of(ranges, r) for r in at], np.uint64)).tolist() + [len(found)]
@@ -182,24 +206,20 @@ def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -
     if cuts[0] or marks != answers["mark"].to_pylist():
         raise ValueError("the documents were read in another order than before; store them first")
     counts, begun = _unpacked(answers["counts"], np.int64), _unpacked(answers["begun"], np.int64)
-    words = int(counts[np.searchsorted(found, ALL_WORDS)])
-    start = np.searchsorted(found, start_runs(order))
-    n, logs = [], []
-    for text in texts:
-        own = [np.searchsorted(found, r) for r in runs(text, order)]
-        n.append(len(own[0]))
-        if not len(own[0]):
-            logs.append(None)
-            continue
-        log = np.log(np.maximum(counts[own[0]] - 1, 1) / max(words - 1, 1)) + (order - 1) * math.log(BACKOFF)
-        for k in range(1, order):
-            # A run without its last word is the run of one word less that ends a word before.
-            context = np.append(start[k - 1], own[k - 1][:-1])
-            seen = counts[own[k]] > 1
-            share = (counts[own[k]][seen] - 1) / (begun[context][seen] - 1)
-            log[seen] = np.log(share) + (order - 1 - k) * math.log(BACKOFF)
-        logs.append(float(log.sum()))
-    return n, logs
+    n = len(own[0])
+    start, words = place[order * n : -1], int(counts[place[-1]])
+    first = (np.cumsum(size) - size)[size > 0]
+    log = np.log(np.maximum(counts[place[:n]] - 1, 1) / max(words - 1, 1)) + (order - 1) * math.log(BACKOFF)
+    for k in range(1, order):
+        # A run without its last word is the run of one word less that ends a word before.
+        run, context = counts[place[k * n : (k + 1) * n]], np.roll(place[(k - 1) * n : k * n], 1)
+        context[first] = start[k - 1]
+        seen = run > 1
+        log[seen] = np.log((run[seen] - 1) / (begun[context[seen]] - 1)) + (order - 1 - k) * math.log(BACKOFF)
+    sums = np.full(len(size), np.nan)
+    if n:
+        sums[size > 0] = np.add.reduceat(log, first)
+    return size, sums
 
 
 def scores(docs: DataFrame, work: Work, order: int = ORDER, scanned: bool = False) -> DataFrame:
@@ -223,7 +243,7 @@ def scores(docs: DataFrame, work: Work, order: int = ORDER, scanned: bool = Fals
     def scored(block: pa.Table, given: pa.Table) -> pa.Table:
         n, logs = block_scores(block["text"].to_pylist(), given, order, ranges)
         return pa.table(
-            {"doc_id": block["doc_id"], "n_words": pa.array(n, pa.int64()), "log_score": pa.array(logs, pa.float64())}
+            {"doc_id": block["doc_id"], "n_words": pa.array(n, pa.int64()), "log_score": pa.array(logs, pa.float64(), from_pandas=True)}
         )
 
     return (
@@ -240,9 +260,12 @@ def _per_word() -> Column:
 
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of jobs that nothing refers to any more. It does so when the
-    driver collects garbage, which it may have no other reason to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    driver collects garbage, which it may have no other reason to. What Python has let go of reaches the
+    JVM a little later, so it takes two turns."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -349,8 +349,9 @@ def plain_lm_scores(texts, order):
 @pytest.mark.parametrize("order", [1, 3])
 def test_lm_scores(spark, docs, texts, empty, monkeypatch, order):
     monkeypatch.setattr(lm_scoring, "RANGE_CHARS", 10_000)
-    monkeypatch.setattr(lm_scoring, "BLOCK_ROWS", 2)
-    monkeypatch.setattr(lm_scoring, "LONG_TEXT", 600)
+    monkeypatch.setattr(lm_scoring, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(lm_scoring, "BLOCK_CHARS", 1000)
+    monkeypatch.setattr(lm_scoring, "CHUNK_CHARS", 500)
     got = by_id(lm_scoring.scores(docs, Work(spark, "t"), order=order))
     for i, (n, log) in enumerate(plain_lm_scores([*texts, "no identifier"], order)[:-1]):
         assert got[i]["n_words"] == n
@@ -375,6 +376,6 @@ def test_lm_scores_refuse_another_order(spark):
     mark = lm_scoring.zlib.crc32(own[0].tobytes())
     zero = own[1].tobytes()
     given = lm_scoring.pa.table({"range": [0], "counts": [zero], "begun": [zero], "mark": [mark]})
-    assert lm_scoring.block_scores(["a b c"], given, 2, 1)[0] == [3]
+    assert lm_scoring.block_scores(["a b c"], given, 2, 1)[0].tolist() == [3]
     with pytest.raises(ValueError, match="another order"):
         lm_scoring.block_scores(["a b d"], given, 2, 1)
