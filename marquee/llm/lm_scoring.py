@@ -47,7 +47,7 @@ RANGE_CHARS = 1 << 21
 ALL_WORDS = np.uint64(0xA11)
 
 ASKED = "range long, block long, runs binary, counts binary, ends binary, mark long"
-ANSWERED = "block long, range long, counts binary, begun binary, mark long"
+ANSWERED = "block long, range long, counts binary, ends binary, mark long"
 
 
 def word_runs(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -145,8 +145,8 @@ def asked(rows: DataFrame, order: int, ranges: int, slice_: int) -> DataFrame:
                 pa.array([at for at, _ in parts], pa.int64()),
                 pa.array([block] * len(parts), pa.int64()),
                 pa.array(packed, pa.binary()),
-                pa.array([counts[p].astype(np.uint32).tobytes() for _, p in parts], pa.binary()),
-                pa.array([ends[p].astype(np.uint32).tobytes() for _, p in parts], pa.binary()),
+                pa.array([packed_counts(counts[p]) for _, p in parts], pa.binary()),
+                pa.array([packed_counts(ends[p]) for _, p in parts], pa.binary()),
                 pa.array([zlib.crc32(b) for b in packed], pa.int64()),
             ],
             names=["range", "block", "runs", "counts", "ends", "mark"],
@@ -168,26 +168,36 @@ def asked(rows: DataFrame, order: int, ranges: int, slice_: int) -> DataFrame:
 
 
 def answer(group: pa.Table) -> pa.Table:
-    """The corpus counts of a range, given back to each block in its own order: occurrences of a run, and how
-    often a word continues it."""
-    sizes = [len(b) // 8 for b in group["runs"].to_pylist()]
-    found, place = np.unique(_unpacked(group["runs"], np.uint64), return_inverse=True)
-    counts = np.bincount(place, _unpacked(group["counts"], np.uint32), len(found)).astype(np.int64)
-    begun = counts - np.bincount(place, _unpacked(group["ends"], np.uint32), len(found)).astype(np.int64)
-    own = np.split(place, np.cumsum(sizes)[:-1])
+    """The corpus counts of a range, given back to each block in its own order."""
+    blobs = group["runs"].to_pylist()
+    found, place = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True)
+    own = np.split(place, np.cumsum([len(b) // 8 for b in blobs])[:-1])
+
+    def summed(column: str) -> pa.Array:
+        whole = np.bincount(place, unpacked_counts(group[column]), len(found)).astype(np.int64)
+        return pa.array([packed_counts(whole[o]) for o in own], pa.binary())
+
     return pa.table(
         {
             "block": group["block"],
             "range": group["range"],
-            "counts": pa.array([counts[o].tobytes() for o in own], pa.binary()),
-            "begun": pa.array([begun[o].tobytes() for o in own], pa.binary()),
+            "counts": summed("counts"),
+            "ends": summed("ends"),
             "mark": group["mark"],
         }
     )
 
 
-def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def packed_counts(counts: np.ndarray) -> bytes:
+    """The lowest bytes of all counts, then the next ones. Most counts are small, so most bytes are long stretches of zeros,
+    which Spark's compression takes out."""
+    return np.ascontiguousarray(counts, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_counts(column: pa.ChunkedArray) -> np.ndarray:
+    """The counts of all rows one after the other."""
+    each = [np.frombuffer(b, np.uint8).reshape(8, -1).T for b in column.to_pylist()]
+    return np.concatenate([np.zeros((0, 8), np.uint8), *each]).view(np.int64).ravel()
 
 
 def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +215,9 @@ def block_scores(texts: list[str], answers: pa.Table, order: int, ranges: int) -
     marks = [zlib.crc32(found[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
     if cuts[0] or marks != answers["mark"].to_pylist():
         raise ValueError("the documents were read in another order than before; store them first")
-    counts, begun = _unpacked(answers["counts"], np.int64), _unpacked(answers["begun"], np.int64)
+    counts = unpacked_counts(answers["counts"])
+    # How often a word continues a run.
+    begun = counts - unpacked_counts(answers["ends"])
     n = len(own[0])
     start, words = place[order * n : -1], int(counts[place[-1]])
     first = (np.cumsum(size) - size)[size > 0]

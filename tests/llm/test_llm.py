@@ -374,8 +374,8 @@ def test_lm_scores_of_one_word_and_of_repeated_rows(spark):
 def test_lm_scores_refuse_another_order(spark):
     own = lm_scoring.count_runs(["a b c"], 2, 0, 1 << 64)
     mark = lm_scoring.zlib.crc32(own[0].tobytes())
-    zero = own[1].tobytes()
-    given = lm_scoring.pa.table({"range": [0], "counts": [zero], "begun": [zero], "mark": [mark]})
+    counts, ends = map(lm_scoring.packed_counts, own[1:])
+    given = lm_scoring.pa.table({"range": [0], "counts": [counts], "ends": [ends], "mark": [mark]})
     assert lm_scoring.block_scores(["a b c"], given, 2, 1)[0].tolist() == [3]
     with pytest.raises(ValueError, match="another order"):
         lm_scoring.block_scores(["a b d"], given, 2, 1)
