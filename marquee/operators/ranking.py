@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from marquee.functions.predicates import mentions
 
+# Of the quantiles that bound a large top-k.
+ACCURACY = 10_000
+
 
 def sort_desc(df: DataFrame, by: str, *tiebreak: str | Column) -> DataFrame:
     """Highest first, NULLs last."""
@@ -20,19 +23,25 @@ def top_k(df: DataFrame, by: str, k: int, *tiebreak: str | Column) -> DataFrame:
     return sort_desc(df, by, *tiebreak).limit(k)
 
 
-def top_k_in_lanes(
-    df: DataFrame, by: str, k: int, *tiebreak: str | Column, lanes: int = 64
-) -> DataFrame:
-    """:func:`top_k` for a large ``k``: the tasks' rows first meet in ``lanes`` tasks, so the task that
-    merges reads ``lanes`` times ``k`` rows however many tasks there are."""
-    order = Window.partitionBy("__lane").orderBy(F.desc_nulls_last(by), *tiebreak)
-    best = (
-        df.withColumn("__lane", F.spark_partition_id() % lanes)
-        .withColumn("__place", F.row_number().over(order))
-        .where(F.col("__place") <= k)
-        .drop("__lane", "__place")
-    )
-    return top_k(best, by, k, *tiebreak)
+def least_of_top_k(df: DataFrame, by: str, k: int) -> object | None:
+    """A value that at least ``k`` rows reach in the numeric column ``by``, and not many more; None if there may be fewer.
+
+    One pass over the column: each task sums it up in a digest of fixed size, and a row of quantiles comes back.
+    A quantile can be off by a share of 1 / ``ACCURACY`` of the rows, which is allowed for."""
+    shares = [2.0**-j for j in range(1, 31)]
+    got = df.where(F.col(by).isNotNull()).agg(
+        F.count("*").alias("n"), F.percentile_approx(by, [1 - s for s in shares], ACCURACY).alias("least")
+    ).first()
+    reached = [v for s, v in zip(shares, got["least"] or []) if got["n"] * (s - 1 / ACCURACY) > k + 1]
+    return reached[-1] if reached else None
+
+
+def top_k_above(df: DataFrame, by: str, k: int, *tiebreak: str | Column) -> DataFrame:
+    """:func:`top_k` for a large ``k`` of many rows, for a ``df`` of scans and narrow steps: a lower bound of the
+    ``k``-th value goes to the scan first, so what the tasks send to the one that merges is near ``k`` rows in all
+    and not ``k`` from each."""
+    least = least_of_top_k(df, by, k)
+    return top_k(df if least is None else df.where(F.col(by) >= F.lit(least)), by, k, *tiebreak)
 
 
 def n_largest(df: DataFrame, by: str, k: int, *prior_order: str | Column) -> DataFrame:

@@ -14,7 +14,7 @@ from marquee.operators.aggregates import decade_stats
 from marquee.operators.ranking import (
     label_pos_rel,
     top_k,
-    top_k_in_lanes,
+    top_k_above,
     top_k_per_category,
     with_pos,
 )
@@ -110,7 +110,7 @@ def top_movies(popularity: DataFrame, k: int = MOVIES_SHOWN) -> DataFrame:
 
 def movie_scatter(popularity: DataFrame, k: int = MOVIES_SAMPLED) -> DataFrame:
     """Points: rating against votes of the most popular movies, colour by popularity."""
-    return top_k_in_lanes(
+    return top_k_above(
         popularity.where(equals("titleType", "movie")).select(
             "tconst", "averageRating", "numVotes", "popularity_score"
         ),

@@ -21,12 +21,28 @@ def test_sorts_and_top_k(spark):
     assert keys(ranking.sort_desc(df, "v", "k")) == "bdafce"
     assert keys(ranking.top_k(df, "v", 3, "k")) == "bda"
     for k in (1, 3, 9):
-        assert keys(ranking.top_k_in_lanes(df, "v", k, "k", lanes=2)) == "bdafce"[:k]
+        assert keys(ranking.top_k_above(df, "v", k, "k")) == "bdafce"[:k]
     assert keys(ranking.n_largest(df, "v", 3, "k")) == "bda"
     assert keys(ranking.n_largest(df, "v", 5, "k")) == "bdafc"
     assert keys(ranking.n_largest(df, "v", 9, F.desc("k"))) == "dbafec"
 
 
+def test_top_k_above_a_bound(spark):
+    """With ties, NULLs and NaN in the ranked column, and a bound that leaves most rows out."""
+    value = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 1000 == 1, float("nan")).otherwise(F.col("id") % 500)
+    df = spark.range(0, 40_000, 1, 8).select(F.col("id").alias("k"), value.cast("double").alias("v"))
+    for k in (1, 100, 3_000, 50_000):
+        got = [(r["k"], str(r["v"])) for r in ranking.top_k_above(df, "v", k, "k").collect()]
+        assert got == [(r["k"], str(r["v"])) for r in ranking.top_k(df, "v", k, "k").collect()]
+    least = ranking.least_of_top_k(df, "v", 1_000)
+    assert 1_000 <= df.where(F.col("v") >= least).count() <= 4_000
+    assert ranking.least_of_top_k(df, "v", 40_000) is None
+    whole = df.where((F.col("k") % 7 != 0) & ~F.isnan("v")).select("k", F.col("v").cast("long").alias("v"))
+    assert ranking.top_k_above(whole, "v", 500, "k").collect() == ranking.top_k(whole, "v", 500, "k").collect()
+    plan = ranking.top_k_above(df, "v", 100, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan
+
+
 def test_positions(spark):
     got = ranking.with_pos(frame(spark), 4, F.desc_nulls_last("v"), "k")
     assert got.schema["pos"].dataType.simpleString() == "bigint"
