@@ -119,9 +119,10 @@ def segments(places: np.ndarray, values: np.ndarray) -> list[tuple[float, int, i
     """All maximal scoring segments of a text as (sum, first, last) with indices into ``places``, where
     every token that is not listed has the score OTHER_TOKEN.
 
-    Candidates are kept with the sums of scores before and up to them. A new one is joined to the last
-    candidate that starts at a lower sum, unless that one reaches as high."""
-    kept: list[tuple[float, float, int, int]] = []  # sum before, sum up to, first, last
+    Candidates are kept with the sums of scores before and up to them, and a link to the last earlier candidate that
+    starts at a lower sum. A new one is joined to the last candidate that starts at a lower sum, unless that one reaches
+    as high. It is found along the links, which pass over candidates that no later one can need."""
+    kept: list[tuple[float, float, int, int, int]] = []  # sum before, sum up to, first, last, link
     total, at = 0.0, 0
     for i, (place, value) in enumerate(zip(places.tolist(), values.tolist())):
         total += OTHER_TOKEN * (place - at)
@@ -129,17 +130,18 @@ def segments(places: np.ndarray, values: np.ndarray) -> list[tuple[float, int, i
         before, total = total, total + value
         if value <= 0:
             continue
-        new = (before, total, i, i)
+        low, high, first, last = before, total, i, i
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or kept[j][1] >= new[1]:
-                kept.append(new)
+            while j >= 0 and kept[j][0] >= low:
+                j = kept[j][4]
+            if j < 0 or kept[j][1] >= high:
+                kept.append((low, high, first, last, j))
                 break
-            new = (kept[j][0], new[1], kept[j][2], new[3])
+            low, _, first, _, link = kept[j]
             del kept[j:]
-    return [(high - low, first, last) for low, high, first, last in kept]
+            j = link
+    return [(high - low, first, last) for low, high, first, last, _ in kept]
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from marquee.llm import (
     bpe, components, exact, lm_scoring, mixing, near_dedup, quality, secret_scan, substring, toxicity, vectors,
 )
 from marquee.llm.common import Work
+from marquee.llm.labelled import sample
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, n long, ids string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -379,3 +380,48 @@ def test_lm_scores_refuse_another_order(spark):
     assert lm_scoring.block_scores(["a b c"], given, 2, 1)[0].tolist() == [3]
     with pytest.raises(ValueError, match="another order"):
         lm_scoring.block_scores(["a b d"], given, 2, 1)
+
+
+def plain_segments(scores):
+    """All maximal segments by their definition: the best segment, of equal ones the shortest, then those beside it."""
+    best = None
+    for a in range(len(scores)):
+        for b in range(a, len(scores)):
+            key = (sum(scores[a : b + 1]), a - b)
+            if key[0] > 0 and (best is None or key > best[0]):
+                best = (key, a, b)
+    if best is None:
+        return []
+    (total, _), a, b = best
+    right = [(s, x + b + 1, y + b + 1) for s, x, y in plain_segments(scores[b + 1 :])]
+    return [*plain_segments(scores[:a]), (total, a, b), *right]
+
+
+def test_toxic_segments_equal_their_definition():
+    draw = random.Random(5)
+    for _ in range(400):
+        places = sorted(draw.sample(range(24), draw.randint(0, 10)))
+        # Multiples of powers of two, so that sums are exact; odd eighths keep them from being equal often.
+        values = [draw.randint(1, 60) / 16 + draw.random() * 2**-10 // 2**-30 * 2**-30 for _ in places]
+        scores = [toxicity.OTHER_TOKEN] * 24
+        for p, v in zip(places, values):
+            scores[p] = v
+        got = toxicity.segments(toxicity.np.array(places, int), toxicity.np.array(values))
+        assert [(s, places[a], places[b]) for s, a, b in got] == plain_segments(scores)
+
+
+def test_toxic_segments_of_very_many_passages_take_linear_time():
+    n = 200_000
+    began = time.time()
+    got = toxicity.segments(toxicity.np.arange(n) * 10, toxicity.np.full(n, 1.0))
+    assert len(got) == n and time.time() - began < 5
+
+
+def test_labelled_samples_are_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(10_000)] + [(i, "x") for i in range(2, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    for rows, want in ((100, 100), (20_000, 10_058), (1, None)):
+        got = sample(docs, labels, "toxic", F.lit(True), rows).collect()
+        assert len(got) == want if want else len(got) <= rows
+    few = sample(docs.where("doc_id > 1"), labels, "toxic", F.lit(True), 100).collect()
+    assert sorted(r["label"] for r in few) == [0] * 29 + [1] * 29
