@@ -45,9 +45,14 @@ def test_year_range_reaches_the_scan_where_the_decade_is_computed(spark):
     assert "GreaterThanOrEqual(startYear,1900)" in plan and "LessThanOrEqual(startYear,2029)" in plan
 
 
-def test_large_top_k_merges_a_bounded_number_of_rows(spark):
-    plan = explain(reports.movie_scatter(curation.title_popularity(rated(spark, SF_DIR))))
-    assert plan.count("WindowGroupLimit") >= 2 and "TakeOrderedAndProject" in plan
+def test_bound_of_a_large_top_k_reaches_the_scan(spark, tmp_path):
+    curation.title_popularity(rated(spark, SF_DIR)).write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    plan = explain(reports.movie_scatter(stored, k=20))
+    assert "GreaterThanOrEqual(popularity_score," in plan and "TakeOrderedAndProject" in plan
+    assert "Exchange" not in plan and "Window" not in plan
+    least = ranking.least_of_top_k(stored.where(equals("titleType", "movie")), "popularity_score", 20)
+    assert 20 <= stored.where((stored.titleType == "movie") & (stored.popularity_score >= least)).count() <= 100
 
 
 def test_genre_stats_reads_only_its_columns_and_aggregates_before_the_shuffle(spark):
