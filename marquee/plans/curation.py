@@ -21,6 +21,7 @@ from marquee.functions.columns import (
 from marquee.operators import aggregates, generators, joins
 from marquee.operators.skew import SplitPlan, heavy_parts
 from marquee.plans.generations import new_generation, publish
+from marquee.session import small_tasks
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import read_tsv
 from marquee.zones import CURATED, LANDING, LANDING_FILES, RAW, Zones
@@ -97,7 +98,8 @@ def rating_splits(ratings: DataFrame) -> SplitPlan:
 
 def raw_to_curated(spark: SparkSession, zones: Zones) -> None:
     """Write the six curated datasets: first those that join with the ratings, then those that
-    derive from the stored join."""
+    derive from the stored join. Tasks are small, so that the sorts need no disk."""
+    spark = small_tasks(spark)
     titles, ratings, names = (read_dataset(spark, zones, RAW, n) for n in LANDING_FILES)
     plan = rating_splits(ratings)
 

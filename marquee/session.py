@@ -6,11 +6,13 @@ import atexit
 import logging
 import tempfile
 import uuid
+from contextlib import suppress
 from contextvars import ContextVar
 from functools import cache
 from threading import Lock
 
 from pyspark import SparkContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -25,6 +27,25 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
     return builder.getOrCreate()
 
 
+# What a task reads where it sorts or groups whole rows: stored, it is a tenth or less of what it takes in memory.
+SMALL_READS = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
+def small_tasks(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one whose tasks read little enough to sort or group it in memory, at any size
+    of the tables. Sizes that the session itself sets stay."""
+    small = spark.newSession()
+    for key, value in (SMALL_READS | spark.conf.getAll).items():
+        if small.conf.get(key, None) != value:
+            # Settings of the context are the same for all its sessions.
+            with suppress(AnalysisException):
+                small.conf.set(key, value)
+    return small
+
+
 class Lease:
     """Owns the scratch folders and databases that are made while it is open, and removes them when its ``with``
     block ends, also after an error. Frames that read from them must be consumed within the block.

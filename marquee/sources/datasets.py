@@ -11,6 +11,9 @@ from marquee.zones import Zones
 if TYPE_CHECKING:
     import pandas as pd
 
+# Reads can be split between row groups only; one of this size, before compression, holds under a million titles.
+ROW_GROUP_BYTES = 32 << 20
+
 
 def read_dataset(spark: SparkSession, zones: Zones, zone: str, name: str) -> DataFrame:
     """A dataset below the given zones; ``plans.generations.published`` gives those of the newest run."""
@@ -21,8 +24,9 @@ def write_dataset(
     df: DataFrame, zones: Zones, zone: str, name: str, mode: str = "overwrite"
 ) -> None:
     """Full replacement by default, unpartitioned. Adaptive execution sizes the files after a
-    shuffle; a map-only job writes one file per input split."""
-    df.write.mode(mode).parquet(zones.path(zone, name))
+    shuffle; a map-only job writes one file per input split. Zstandard takes about half the bytes of the default."""
+    writer = df.write.mode(mode).option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)
+    writer.parquet(zones.path(zone, name))
 
 
 def collect_report(df: DataFrame, max_rows: int) -> pd.DataFrame:

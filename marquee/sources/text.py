@@ -31,9 +31,12 @@ def read_tsv(
     return df
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_tsv(
+    df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none"
+) -> None:
     r"""The inverse of :func:`read_tsv`: header line, ``\N`` for NULL, no quoting. Empty texts read back as
-    NULL. A value that the format cannot hold (with a tab or line end, or a literal ``\N``) is an error."""
+    NULL. A value that the format cannot hold (with a tab or line end, or a literal ``\N``) is an error.
+    A compressed file is later read by one task, so compress only what is written in many small parts."""
     held = [
         F.when(
             F.col(f"`{f.name}`").cast("string").rlike(r"[\t\r\n]|^\\N$"),
@@ -50,6 +53,7 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
         .option("header", True)
         .option("nullValue", "\\N")
         .option("quote", "")
+        .option("compression", compression)
         .csv(path)
     )
 

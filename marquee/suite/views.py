@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.skew import SplitPlan, heavy_parts, split_join
 from marquee.plans.curation import curate, rating_splits, typed
-from marquee.session import scratch_folder
+from marquee.session import scratch_folder, small_tasks
 from marquee.sources.datasets import read_dataset, write_dataset
 from marquee.sources.text import write_tsv
 from marquee.zones import LANDING, LANDING_FILES, RAW, Zones
@@ -40,14 +40,22 @@ def _attach(left: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     return split_join(left, facts, key, "left", SplitPlan.of(heavy_parts({"left": left}, key)))
 
 
+def _gathered(df: DataFrame, key: str, counted: DataFrame | None = None) -> DataFrame:
+    """The rows of each key in one task, for grouping. Keys have a few rows each, all over the table, so groups formed
+    in the reading tasks would hold nearly all of its rows and spill. Where a key has too many rows for one task, they
+    stay where they are and are grouped there first. ``counted`` is a cheaper frame with the same keys."""
+    heavy = heavy_parts({"rows": df if counted is None else counted}, key)
+    return df.repartition(key) if heavy is None else df
+
+
 def title_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = small_tasks(spark)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     # Copies of a part would only multiply the line items before the set drops them again.
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand").distinct()
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
     brands = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
-        .join(part, "p_partkey")
+        _gathered(lines.join(part, "p_partkey").drop("p_partkey"), "l_orderkey", lines)
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.array_join(F.sort_array(F.collect_set("p_brand")), ",").alias("brands"))
     )
@@ -75,9 +83,10 @@ def title_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_ratings_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = small_tasks(spark)
     quantity = F.sum("l_quantity").cast("bigint")
     return (
-        table(spark, sf_dir, "lineitem")
+        _gathered(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), "l_orderkey")
         .groupBy("l_orderkey")
         .agg(quantity.alias("quantity"))
         .select(
@@ -89,12 +98,13 @@ def title_ratings_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_basics_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = small_tasks(spark)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     # A person per customer and block of order keys, so a customer's orders are all known titles,
     # and arithmetic bounds the set of one person.
     block = F.floor(F.col("o_orderkey") / KEYS_PER_PERSON).cast("bigint")
     known = (
-        table(spark, sf_dir, "orders")
+        _gathered(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
         .groupBy(F.col("o_custkey").alias("c_custkey"), block.alias("block"))
         .agg(F.array_join(F.sort_array(F.collect_set(_id("tt", "o_orderkey"))), ",").alias("known"))
     )
@@ -188,7 +198,8 @@ class Stage:
 
     def _land(self, zones: Zones, name: str) -> None:
         path = zones.path(LANDING, LANDING_FILES[name].file)
-        write_tsv(LANDING_VIEWS[name](self.spark, self.sf_dir), path, "overwrite")
+        # Small tasks write the parts, so one task can read each.
+        write_tsv(LANDING_VIEWS[name](self.spark, self.sf_dir), path, "overwrite", "gzip")
 
     def raw(self, name: str) -> DataFrame:
         with self._lock:
