@@ -29,7 +29,7 @@ from tokenizers import Tokenizer, models
 
 from marquee.llm.common import whole_text
 
-# Words and pieces whose ids a worker remembers, of each; beyond that it forgets half. Only speed depends on it.
+# Words and pieces whose ids a task remembers, of each; beyond that it forgets half. Only speed depends on it.
 KNOWN_WORDS = 400_000
 # Longer pieces are not remembered.
 LONG_PIECE = 64
@@ -118,6 +118,10 @@ class Codec:
             alone = word and not word[0].isspace() and not word[-1].isspace()
             known[word] = merge(" " + word) if alone else []
 
+    def forget(self) -> None:
+        """Give the memory of words and pieces back. Workers outlive their tasks and run those of later steps."""
+        self.known, self.seen = {}, {}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of texts. Between a character and a single blank two pieces always meet, so a
         text is taken word by word; a part of it with other white space around blanks is
@@ -216,6 +220,7 @@ def encode(
                     [keys.slice(first, last - first), _lists(ids), _lists(starts)],
                     names=[key, "ids", "starts"],
                 )
+        codec.forget()
 
     return docs.select(key, whole_text(text).alias("text")).mapInArrow(
         batches, f"`{key}` {kind}, {ENCODED}"
@@ -272,6 +277,7 @@ def digests(
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(first, last - first), *columns], names=[key, *DIGEST_NAMES]
                 )
+        codec.forget()
 
     return docs.select(key, whole_text(text).alias("text")).mapInArrow(
         batches,

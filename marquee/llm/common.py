@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +44,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def portions(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, as many at a time as have ``most`` bytes of text between them, one at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 bytes as 64 hex digits."""
     return F.sha2(text.cast("binary"), 256)

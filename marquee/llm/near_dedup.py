@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WORD, Work, table, whole_text
+from marquee.llm.common import WORD, Work, portions, table, whole_text
 from marquee.llm.components import components
 from marquee.llm.words import BASE, mix, shingles, stream, word_numbers
 
@@ -37,6 +37,8 @@ PLACES = 1 << 20
 MISSED = 1e-7
 BLOCK = 256
 ROWS_AT_ONCE = 4096
+# Bytes of text whose sets a worker holds at a time, a single longer text aside.
+BATCH_BYTES = 4 << 20
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -75,7 +77,7 @@ def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
     """``doc_id``, ``n`` (set size), ``key_a`` and ``key_b`` (a digest of the set), ``bands``."""
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
+        for batch in (part for whole in arrow for part in portions(whole, 1, BATCH_BYTES)):
             n, a, b, banded = [], [], [], []
             for text in batch.column(1):
                 own = shingles(word_numbers(text.as_py(), True)[0], size)
@@ -103,7 +105,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """``rep`` and ``own``, the set of the document."""
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
+        for batch in (part for whole in arrow for part in portions(whole, 1, BATCH_BYTES)):
             own = [shingles(word_numbers(t.as_py(), True)[0], size).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["rep", "own"]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import table, whole_text
+from marquee.llm.common import portions, table, whole_text
 from marquee.llm.labelled import held_out, sample
 
 TRAIN_ROWS = 60_000
@@ -46,7 +46,10 @@ LEAST_ODDS = 2.0
 OTHER_TOKEN = -0.5
 LARGEST_SCORE = 8.0
 STEMS = (5, 4)
-BATCH_CHARS = 4 << 20
+# Bytes of text that are scored together, a single longer text aside.
+BATCH_BYTES = 4 << 20
+# Words whose scores a task remembers; beyond that it starts anew. Only speed depends on it.
+KNOWN_WORDS = 100_000
 
 WORDS = re.compile(r"[^\W_]+")
 
@@ -85,6 +88,10 @@ class Model:
             self.__dict__["_memo"] = Memo(self)
         return self.__dict__["_memo"]
 
+    def forget(self) -> None:
+        """Give the memory of words back. Workers outlive their tasks and run those of later steps."""
+        self.__dict__.pop("_memo", None)
+
     def passages(self, text: str) -> tuple[int, list[tuple[float, int, int]]]:
         """Number of tokens, and sum, start and end (in code points) of each maximal segment."""
         n, places, values, spans = self.known(text)
@@ -102,14 +109,14 @@ class Model:
 
 
 class Memo(dict):
-    """Scores of words as they are met; starts anew at a million."""
+    """Scores of words as they are met; starts anew at ``KNOWN_WORDS``."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
 
     def __missing__(self, word: str) -> float | None:
-        if len(self) > 1_000_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         value = self[word] = self.model.lookup(word)
         return value
@@ -198,7 +205,7 @@ def scan(rows: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = spec.value
-        for batch in arrow:
+        for batch in (part for whole in arrow for part in portions(whole, at, BATCH_BYTES)):
             n, sums, spans, evidence = [], [], [], []
             for text in batch.column(at):
                 tokens, found = own.passages(text.as_py())
@@ -217,6 +224,7 @@ def scan(rows: DataFrame, model: Model, *keep: str) -> DataFrame:
                 ],
                 names=[*keep, "n", "sums", "spans", "evidence", "score"],
             )
+        own.forget()
 
     return rows.select(*keep, "text").mapInArrow(
         batches,
